@@ -27,7 +27,7 @@ def join_keys(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> Da
 
 
 def as_number(df: DataFrame, name: str) -> Column:
-    """Order-preserving number for a numeric, date or timestamp column."""
+    """Non-decreasing number for a numeric, date, timestamp or string column."""
     kind, col = df.schema[name].dataType, F.col(name)
     if isinstance(kind, T.DateType):
         return F.unix_date(col)
@@ -37,17 +37,24 @@ def as_number(df: DataFrame, name: str) -> Column:
         return F.unix_micros(col)
     if isinstance(kind, T.NumericType):
         return col
+    if isinstance(kind, T.StringType):
+        # the first six UTF-8 bytes, in the order Spark compares strings
+        head = F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("bigint")
     raise TypeError(f"{name} has no numeric order")
 
 
-def with_blocks(df: DataFrame, order: str, by: tuple[str, ...], rows_per_block: int) -> DataFrame:
-    """Add `_block`: non-decreasing in `order` inside each group."""
+def with_blocks(
+    df: DataFrame, order: str, by: tuple[str, ...], rows_per_block: int, **totals: Column
+) -> DataFrame:
+    """Add `_block`, non-decreasing in `order` inside each group, and whole-group `totals`."""
     value = as_number(df, order).cast("double")
-    bounds = (F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count("*").alias("_size"))
+    bounds = [F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count("*").alias("_size")]
+    bounds += [col.alias(name) for name, col in totals.items()]
     if by:
         ranged = join_keys(df, df.groupBy(*by).agg(*bounds), by)
     else:
-        box = df.agg(*bounds).select(F.struct("_lo", "_hi", "_size").alias("b")).scalar()
+        box = df.agg(*bounds).select(F.struct("_lo", "_hi", "_size", *totals).alias("b")).scalar()
         ranged = df.withColumn("_b", box).select("*", "_b.*").drop("_b")
     blocks = F.least(F.lit(MAX_BLOCKS), F.ceil(F.col("_size") / rows_per_block))
     place = F.floor((value - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * blocks)
@@ -66,15 +73,13 @@ def running_total(
     """Add `running` (cumulative weight, equal order values share one step) and `grand_total`."""
     by = tuple(by)
     steps = df.groupBy(*by, order).agg(F.sum(weight).alias("_step"))
-    steps = with_blocks(steps, order, by, rows_per_block)
+    steps = with_blocks(steps, order, by, rows_per_block, grand_total=F.sum("_step"))
     block_key = F.col("_block").desc() if descending else F.col("_block")
     value_key = F.col(order).desc() if descending else F.col(order)
     upto = Window.partitionBy(*by).orderBy(block_key).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*by)
     blocks = (
         steps.groupBy(*by, "_block").agg(F.sum("_step").alias("_sum"))
         .withColumn("_before", F.sum("_sum").over(upto) - F.col("_sum"))
-        .withColumn("grand_total", F.sum("_sum").over(whole))
         .drop("_sum")
     )
     inside = Window.partitionBy(*by, "_block").orderBy(value_key).rowsBetween(Window.unboundedPreceding, 0)
@@ -100,30 +105,21 @@ def distribution(
     """
     by = tuple(by)
     counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
-    counts = with_blocks(counts, value, by, rows_per_block)
+    counts = with_blocks(
+        counts, value, by, rows_per_block,
+        _count=F.sum("_n"), _total=F.sum(F.col(value) * F.col("_n")), _least=F.min(value), _most=F.max(value),
+    )
     upto = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*by)
     blocks = (
-        counts.groupBy(*by, "_block")
-        .agg(
-            F.sum("_n").alias("_bn"),
-            F.sum(F.col(value) * F.col("_n")).alias("_bt"),
-            F.min(value).alias("_bmin"),
-            F.max(value).alias("_bmax"),
-        )
+        counts.groupBy(*by, "_block").agg(F.sum("_n").alias("_bn"), F.max("_count").alias("_count"))
         .withColumn("_before", F.sum("_bn").over(upto) - F.col("_bn"))
-        .withColumn("_count", F.sum("_bn").over(whole))
-        .withColumn("_total", F.sum("_bt").over(whole))
-        .withColumn("_least", F.min("_bmin").over(whole))
-        .withColumn("_most", F.max("_bmax").over(whole))
     )
     position = {name: (F.col("_count") - 1) * F.lit(float(p)) for name, p in quantiles.items()}
     wanted = reduce(
         lambda a, b: a | b,
         [(F.col("_before") <= F.ceil(at)) & (F.col("_before") + F.col("_bn") > F.floor(at)) for at in position.values()],
     )
-    stats = ["_before", "_count", "_total", "_least", "_most"]
-    hits = blocks.filter(wanted).select(*by, "_block", *stats)
+    hits = blocks.filter(wanted).select(*by, "_block", "_before")
     inside = Window.partitionBy(*by, "_block").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
         join_keys(counts, hits, (*by, "_block"))

@@ -26,9 +26,9 @@ def pivot_table(df: DataFrame, index: tuple[str, ...], column: str, value: Colum
 
 
 def with_row_total(df: DataFrame, columns: list[str], name: str = "row_total") -> DataFrame:
-    """Sum of the columns, nulls counted as 0."""
+    """Sum of the columns to the cent, nulls counted as 0."""
     cells = [F.coalesce(F.col(f"`{c}`"), F.lit(0)) for c in columns]
-    return df.withColumn(name, reduce(lambda a, b: a + b, cells))
+    return df.withColumn(name, rounded(reduce(lambda a, b: a + b, cells)))
 
 
 def with_categories(df: DataFrame, column: str, categories: list, fill=0) -> DataFrame:

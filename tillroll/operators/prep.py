@@ -4,11 +4,11 @@ Operators with parameters learned from data come in two steps: `fit_*` returns a
 DataFrame or list learned from one frame, `apply_*` uses it on any frame.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.numbers import clamp, safe_div
-from tillroll.operators.ordered import distribution, interpolate
+from tillroll.operators.ordered import distribution, interpolate, running_total
 from tillroll.operators.pivots import distinct_values
 
 
@@ -93,9 +93,9 @@ def apply_onehot(df: DataFrame, categories: dict[str, list]) -> DataFrame:
 
 def fit_ordinal(df: DataFrame, column: str) -> DataFrame:
     """Dictionary (category, code) in sorted order from 0, at the grain of distinct values."""
-    words = df.select(F.col(column).alias("category")).filter(F.col(column).isNotNull()).distinct()
-    code = F.row_number().over(Window.orderBy("category")) - 1
-    return words.withColumn("code", code)
+    words = df.select(F.col(column).alias("category"), F.lit(1).alias("_one"))
+    words = words.filter(F.col("category").isNotNull()).distinct()
+    return running_total(words, "category", "_one").select("category", (F.col("running") - 1).alias("code"))
 
 
 def apply_ordinal(df: DataFrame, column: str, dictionary: DataFrame) -> DataFrame:

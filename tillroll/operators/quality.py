@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from tillroll.constants import DAY_PARTS
 from tillroll.functions.numbers import ratio, rounded
 from tillroll.operators.ordered import distribution
-from tillroll.operators.receipts import KEY, TOTAL, consistent_receipts, dedup, receipts
+from tillroll.operators.receipts import KEY, TOTAL, dedup, items_per_receipt, line_count, receipts
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -94,7 +94,7 @@ def audit_repeated(lines: DataFrame, how: str = "max", **rule) -> DataFrame:
 
 def audit_before_after(lines: DataFrame) -> DataFrame:
     """Row count before, after dedup, and distinct keys."""
-    keys = lines.groupBy(KEY).agg(F.count("*").alias("_n"))
+    keys = lines.groupBy(KEY).agg(line_count(lines).alias("_n"))
     return keys.agg(
         F.sum("_n").alias("rows_before"), F.count("*").alias("rows_after"), F.count(KEY).alias("distinct_keys")
     )
@@ -118,7 +118,8 @@ def audit_methods(first: DataFrame, second: DataFrame, columns: tuple[str, ...])
 
 def audit_totals(lines: DataFrame) -> DataFrame:
     """Sum of total_cost over lines and over receipts, from one pass."""
-    keys = lines.groupBy(KEY).agg(F.sum(TOTAL).alias("_lines"), F.max(TOTAL).alias("_receipt"))
+    repeated = F.col(TOTAL) * F.col("n_items") if "n_items" in lines.columns else F.col(TOTAL)
+    keys = lines.groupBy(KEY).agg(F.sum(repeated).alias("_lines"), F.max(TOTAL).alias("_receipt"))
     return keys.agg(F.sum("_lines").alias("sum_before"), F.sum("_receipt").alias("sum_after"))
 
 
@@ -143,7 +144,7 @@ def receipt_box(lines: DataFrame, k: float = 1.5) -> DataFrame:
 
 def order_sizes(lines: DataFrame) -> DataFrame:
     """Lines per receipt: orders, min, max, mean, median, mode and percent with exactly one."""
-    sizes = lines.groupBy(KEY).agg(F.count("*").alias("size"))
+    sizes = items_per_receipt(lines).withColumnRenamed("n_items", "size")
     counts = sizes.groupBy("size").agg(F.count("*").alias("n"))
     mode = counts.orderBy(F.desc("n"), F.asc("size")).limit(1).select("size").scalar()
     ones = F.sum(F.when(F.col("size") == 1, F.col("n")).otherwise(0))

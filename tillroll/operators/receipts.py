@@ -24,14 +24,25 @@ def consistent_receipts(lines: DataFrame, *attributes: Column) -> DataFrame:
     ).drop("_least")
 
 
-def dedup(lines: DataFrame, how: str, columns: tuple[str, ...] = (TOTAL,), order: tuple[Column, ...] = ()) -> DataFrame:
+def line_count(lines: DataFrame) -> Column:
+    """Aggregate: number of lines. A frame already reduced to receipts carries `n_items`."""
+    return F.sum("n_items") if "n_items" in lines.columns else F.count("*")
+
+
+def dedup(
+    lines: DataFrame,
+    how: str,
+    columns: tuple[str, ...] = (TOTAL,),
+    order: tuple[str, ...] = (),
+) -> DataFrame:
     """Lines reduced to receipts by a named rule; they differ on dirty data only.
 
     max          one row per id, largest total
     max_by_date  one row per id and sale_date, largest total
     distinct     distinct (id, total) pairs
-    first_row    the whole first line by `order`
-    row_number   the same through ROW_NUMBER() = 1
+    first_row    the first line by `order`, ties by the columns themselves
+    last_row     the last line by `order`
+    row_number   the last line by `order` through ROW_NUMBER() = 1
     first_value  per column, the first non-null value by `order`
     consistent   ids with one total only
     """
@@ -45,21 +56,20 @@ def dedup(lines: DataFrame, how: str, columns: tuple[str, ...] = (TOTAL,), order
         return consistent_receipts(lines)
     if not order:
         raise ValueError(f"{how} needs an explicit order")
+    sort = F.struct(*order)
+    if how in ("first_row", "last_row"):
+        pick = F.min if how == "first_row" else F.max
+        whole = F.struct(sort.alias("o"), F.struct(*columns).alias("c"))
+        return lines.groupBy(KEY).agg(pick(whole).alias("_row")).select(KEY, "_row.c.*")
     if how == "row_number":
-        first = Window.partitionBy(KEY).orderBy(*order)
-        ranked = lines.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") == 1)
+        last = Window.partitionBy(KEY).orderBy(*[F.desc(c) for c in order], *[F.desc(c) for c in columns])
+        ranked = lines.withColumn("_n", F.row_number().over(last)).filter(F.col("_n") == 1)
         return ranked.select(KEY, *columns)
-    if how == "first_row":
-        # dropDuplicates keeps an arbitrary line; a window rank of 1 with ties folded does not
-        first = Window.partitionBy(KEY).orderBy(*order)
-        ties = lines.withColumn("_r", F.rank().over(first)).filter(F.col("_r") == 1)
-        return ties.groupBy(KEY).agg(F.min(F.struct(*columns)).alias("_row")).select(KEY, "_row.*")
     if how == "first_value":
-        rank = F.struct(*order)
-        picks = [F.min_by(c, F.when(F.col(c).isNotNull(), rank)).alias(c) for c in columns]
+        picks = [F.min_by(c, F.when(F.col(c).isNotNull(), sort)).alias(c) for c in columns]
         return lines.groupBy(KEY).agg(*picks)
     raise ValueError(f"unknown rule {how!r}")
 
 
 def items_per_receipt(lines: DataFrame) -> DataFrame:
-    return receipts(lines, F.count("*").alias("n_items"))
+    return receipts(lines, line_count(lines).alias("n_items"))

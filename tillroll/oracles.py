@@ -288,7 +288,7 @@ def _staffing_queries() -> dict[str, str]:
             LEFT JOIN t ON t.dn = n.day_name GROUP BY 1""",
         "rolling_line_revenue": f"""{base}, x AS (SELECT CAST(ts AS DATE) AS d, SUM(price) AS r FROM s GROUP BY 1)
             SELECT {_day('d')} AS day, {_round('AVG(CAST(r AS DOUBLE)) OVER (ORDER BY d ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)', 6)} AS rolling_mean FROM x""",
-        "segments_pivot": f"""{base}, {weekday_segments} SELECT day_num, day_name, {cells}, SUM(total_revenue) AS row_total FROM seg GROUP BY 1, 2""",
+        "segments_pivot": f"""{base}, {weekday_segments} SELECT day_num, day_name, {cells}, {_round('SUM(total_revenue)')} AS row_total FROM seg GROUP BY 1, 2""",
         "checks_per_segment": f"{base}, {weekday_segments} SELECT time_segment, {_ratio('SUM(total_checks)', 'COUNT(*)')} AS avg_total_checks FROM seg GROUP BY 1",
         "dataset_row_count": "SELECT COUNT(*) AS count FROM events",
     }
@@ -444,7 +444,9 @@ def _quality_queries() -> dict[str, str]:
             UNION ALL SELECT 'check value below 100', COUNT(*) FILTER (WHERE value >= 100) FROM e""",
         "dedup_distinct": f"{raw} SELECT DISTINCT transaction_id, {_dbl('total_cost')} AS total_cost FROM r",
         "dedup_max_by_date": f"{raw} SELECT transaction_id, {_day('sale_date')} AS sale_date, {_dbl('MAX(total_cost)')} AS total_cost FROM r GROUP BY transaction_id, sale_date",
-        "dedup_first_row": f"{raw}, a AS ({latest}) SELECT transaction_id, {_day('sale_date')} AS sale_date, {_dbl('total_cost')} AS total_cost FROM a",
+        "dedup_first_row": f"""{raw} SELECT DISTINCT ON (transaction_id) transaction_id, {_day('sale_date')} AS sale_date,
+            {_dbl('total_cost')} AS total_cost FROM r ORDER BY transaction_id, r.sale_date, r.total_cost""",
+        "dedup_last_row": f"{raw}, a AS ({latest}) SELECT transaction_id, {_day('sale_date')} AS sale_date, {_dbl('total_cost')} AS total_cost FROM a",
         "dedup_first_value": f"""{raw}, n AS (SELECT transaction_id, sale_date, CASE WHEN total_cost >= 20000 THEN total_cost END AS total_cost FROM r)
             SELECT transaction_id, {_day('MIN(sale_date)')} AS sale_date,
                    {_dbl('FIRST(total_cost ORDER BY sale_date, total_cost) FILTER (WHERE total_cost IS NOT NULL)')} AS total_cost FROM n GROUP BY 1""",

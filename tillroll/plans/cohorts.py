@@ -20,12 +20,19 @@ def cohort_ltv_margin(orders: DataFrame, products: DataFrame) -> DataFrame:
         F.sum(F.col("amount") - cost).alias("_margin"), F.count("id").alias("_priced")
     )
     # one row per user and month: a user's window is bounded by the calendar
-    per_user = Window.partitionBy("user_id")
-    months = months.withColumn("cohort_month", F.min("margin_month").over(per_user)).filter(F.col("_priced") > 0)
-    users = months.select("cohort_month", "user_id").distinct()
-    sizes = users.groupBy("cohort_month").agg(F.count("*").alias("_size"))
-    margins = months.groupBy("cohort_month", "margin_month").agg(F.sum("_margin").alias("_margin"))
-    upto = Window.partitionBy("cohort_month").orderBy("margin_month").rowsBetween(Window.unboundedPreceding, 0)
-    return margins.join(sizes, "cohort_month").select(
-        "cohort_month", "margin_month", ratio(F.sum("_margin").over(upto), F.col("_size")).alias("ltv_margin")
+    user = Window.partitionBy("user_id")
+    priced_month = F.when(F.col("_priced") > 0, F.col("margin_month"))
+    months = months.withColumns(
+        {"cohort_month": F.min("margin_month").over(user), "_first_priced": F.min(priced_month).over(user)}
+    ).filter(F.col("_priced") > 0)
+    # a member is counted in the month of the first priced order
+    margins = months.groupBy("cohort_month", "margin_month").agg(
+        F.sum("_margin").alias("_margin"), F.count_if(F.col("margin_month") == F.col("_first_priced")).alias("_joined")
+    )
+    cohort = Window.partitionBy("cohort_month")
+    upto = cohort.orderBy("margin_month").rowsBetween(Window.unboundedPreceding, 0)
+    return margins.select(
+        "cohort_month",
+        "margin_month",
+        ratio(F.sum("_margin").over(upto), F.sum("_joined").over(cohort)).alias("ltv_margin"),
     ).orderBy("cohort_month", "margin_month")

@@ -7,6 +7,7 @@ from tillroll.functions.dates import week_start
 from tillroll.functions.numbers import grouped_amount, percent, percent_text, rounded, safe_div
 from tillroll.operators.ordered import running_total
 from tillroll.operators.windows import series, top_n, with_group_stats
+from tillroll.plans.trends import daily_revenue
 
 
 def _abc(lines: DataFrame, thresholds: tuple[float, float]) -> DataFrame:
@@ -81,12 +82,15 @@ def product_margin(sales: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def product_daily_lag(lines: DataFrame, product: str, days_back: int = 7) -> DataFrame:
-    """Day revenue with one product's line count and its value `days_back` rows earlier."""
-    from tillroll.plans.trends import daily_revenue
+def product_daily_lag(
+    lines: DataFrame, product: str, days_back: int = 7, receipts: DataFrame | None = None
+) -> DataFrame:
+    """Day revenue with one product's line count and its value `days_back` rows earlier.
 
+    `receipts` gives the same sales already reduced to receipts, if at hand.
+    """
     counts = lines.filter(F.col("coffee_name") == product).groupBy("sale_date").agg(F.count("*").alias("product_count"))
-    days = daily_revenue(lines).join(counts, "sale_date", "left")
+    days = daily_revenue(lines if receipts is None else receipts).join(counts, "sale_date", "left")
     return days.withColumn(
         "prev_product_count", F.lag("product_count", days_back).over(series("sale_date"))
     ).orderBy("sale_date")

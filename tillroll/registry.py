@@ -11,7 +11,7 @@ from tillroll.functions import dates as D
 from tillroll.functions import labels as L
 from tillroll.functions.numbers import MONEY, rounded
 from tillroll.operators import allocate, calendar, pivots, prep, quality
-from tillroll.operators.receipts import KEY, TOTAL, dedup
+from tillroll.operators.receipts import TOTAL, dedup
 from tillroll.plans import cohorts, dashboards, inventory, operations, products, sales, staffing, trends
 from tillroll.session import shared_dir
 from tillroll.sources import files, schemas, tables, views
@@ -40,10 +40,22 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def _on_lines(recipe, drink: str | None = None, /, **params) -> Query:
+def _on_lines(recipe, drink: str, /, **params) -> Query:
     return lambda spark, folder: recipe(views.sales_lines(spark, folder, drink), **params)
 
 
+def _on_drinks(recipe, drink: str, /, **params) -> Query:
+    return lambda spark, folder: recipe(views.product_lines(spark, folder, drink), **params)
+
+
+def _on_receipts(recipe, **params) -> Query:
+    return lambda spark, folder: recipe(views.sales_receipts(spark, folder), **params)
+
+
+def _on_event_receipts(recipe, **params) -> Query:
+    return lambda spark, folder: recipe(views.event_receipts(spark, folder), **params)
+
+
 def _on_events(recipe, **params) -> Query:
     return lambda spark, folder: recipe(views.event_sales(spark, folder), **params)
 
@@ -74,6 +86,17 @@ def _falling_demand_csv(spark, folder):
     return files.read_csv(spark, path, schemas.FALLING_DEMAND)
 
 
+def _daily_lag(spark, folder):
+    return products.product_daily_lag(
+        views.sales_lines(spark, folder, "p_brand"), "Brand#7", receipts=views.sales_receipts(spark, folder)
+    )
+
+
+def _price_histogram(spark, folder):
+    prices = views.table(spark, folder, "lineitem").select(F.col("l_extendedprice").cast(MONEY).alias("drink_price"))
+    return pivots.histogram(prices, "drink_price")
+
+
 def _margin(spark, folder):
     sold = views.cost_orders(spark, folder).withColumnRenamed("amount", "total_amount")
     goods = views.cost_products(spark, folder).withColumnsRenamed({"id": "product_id", "unit_cost": "cost"})
@@ -111,22 +134,20 @@ def _cohorts(spark, folder):
     return cohorts.cohort_ltv_margin(views.cost_orders(spark, folder), views.cost_products(spark, folder))
 
 
-def _first_order(lines: DataFrame) -> dict:
-    return {"columns": ("sale_date", TOTAL), "order": (F.desc("sale_date"), F.desc(TOTAL))}
+_LAST = {"columns": ("sale_date", TOTAL), "order": ("sale_date",)}
 
 
 def _dedup_first_value(lines):
     late = lines.withColumn(TOTAL, F.when(F.col(TOTAL) >= 20000, F.col(TOTAL)))
-    return dedup(late, "first_value", ("sale_date", TOTAL), order=(F.col("sale_date"), F.col(TOTAL)))
+    return dedup(late, "first_value", ("sale_date", TOTAL), order=("sale_date", TOTAL))
 
 
 def _audit_same(lines):
-    rule = _first_order(lines)
-    return quality.audit_methods(dedup(lines, "first_row", **rule), dedup(lines, "row_number", **rule), ("sale_date", TOTAL))
+    return quality.audit_methods(dedup(lines, "last_row", **_LAST), dedup(lines, "row_number", **_LAST), ("sale_date", TOTAL))
 
 
 def _audit_differ(lines):
-    return quality.audit_methods(dedup(lines, "row_number", **_first_order(lines)), dedup(lines, "max"), (TOTAL,))
+    return quality.audit_methods(dedup(lines, "row_number", **_LAST), dedup(lines, "max"), (TOTAL,))
 
 
 def _constraints(spark, folder):
@@ -271,7 +292,7 @@ def _sql_totals(spark, folder):
         SELECT payment_method, COUNT(DISTINCT transaction_id) AS orders, SUM(drink_price) AS line_revenue
         FROM {sales} GROUP BY 1 ORDER BY 1
     """
-    return tables.run_query(spark, text, sales=views.sales_lines(spark, folder))
+    return tables.run_query(spark, text, sales=views.sales_receipts(spark, folder))
 
 
 def _value_range(spark, folder):
@@ -287,59 +308,59 @@ def _describe_numeric(spark, folder):
 def _queries() -> dict[str, Query]:
     return {
         # receipts and products
-        "business_totals": _on_lines(sales.business_totals),
-        "kpi_distinct": _on_lines(sales.kpi_distinct),
-        "kpi_summary": _on_lines(sales.kpi_summary),
-        "by_day_name": _on_lines(sales.by_day_name),
-        "weekday_vs_weekend": _on_lines(sales.weekday_vs_weekend),
-        "drink_popularity": _on_lines(sales.drink_popularity, "p_brand"),
-        "by_time_of_day": _on_events(sales.by_time_of_day),
-        "by_time_of_day_all_parts": _on_events(sales.by_time_of_day, fill_missing=True),
-        "by_hour_tx": _on_events(sales.by_hour_receipts),
-        "avg_items_per_order": _on_lines(sales.avg_items_per_order),
-        "top3_revenue_share": _on_lines(sales.top_revenue_share, "p_brand"),
-        "payment_mix": _on_lines(sales.payment_mix),
-        "basket_size": _on_lines(sales.basket_size),
-        "order_size_distribution": _on_lines(sales.order_size_distribution),
-        "top_customers": _on_lines(sales.top_customers),
-        "check_distribution": _on_lines(sales.check_distribution),
+        "business_totals": _on_receipts(sales.business_totals),
+        "kpi_distinct": _on_receipts(sales.kpi_distinct),
+        "kpi_summary": _on_receipts(sales.kpi_summary),
+        "by_day_name": _on_receipts(sales.by_day_name),
+        "weekday_vs_weekend": _on_receipts(sales.weekday_vs_weekend),
+        "drink_popularity": _on_drinks(sales.drink_popularity, "p_brand"),
+        "by_time_of_day": _on_event_receipts(sales.by_time_of_day),
+        "by_time_of_day_all_parts": _on_event_receipts(sales.by_time_of_day, fill_missing=True),
+        "by_hour_tx": _on_event_receipts(sales.by_hour_receipts),
+        "avg_items_per_order": _on_receipts(sales.avg_items_per_order),
+        "top3_revenue_share": _on_drinks(sales.top_revenue_share, "p_brand"),
+        "payment_mix": _on_receipts(sales.payment_mix),
+        "basket_size": _on_receipts(sales.basket_size),
+        "order_size_distribution": _on_receipts(sales.order_size_distribution),
+        "top_customers": _on_receipts(sales.top_customers),
+        "check_distribution": _on_receipts(sales.check_distribution),
         "outlier_receipts": _on_events(sales.outlier_receipts),
-        "menu_engineering": _on_lines(sales.menu_engineering, "p_brand"),
-        "check_skew_note": _on_lines(sales.check_skew_note),
-        "check_skew_note_events": _on_events(sales.check_skew_note),
-        "abc_classes": _on_lines(products.abc_classes, "p_brand"),
-        "abc_classes_75": _on_lines(products.abc_classes, "p_type", thresholds=(0.75, 0.95)),
-        "abc_formatted": _on_lines(products.abc_formatted, "p_brand"),
+        "menu_engineering": _on_drinks(sales.menu_engineering, "p_brand"),
+        "check_skew_note": _on_receipts(sales.check_skew_note),
+        "check_skew_note_events": _on_event_receipts(sales.check_skew_note),
+        "abc_classes": _on_drinks(products.abc_classes, "p_brand"),
+        "abc_classes_75": _on_drinks(products.abc_classes, "p_type", thresholds=(0.75, 0.95)),
+        "abc_formatted": _on_drinks(products.abc_formatted, "p_brand"),
         "weekly_product_mix": _on_lines(products.weekly_product_mix, "p_type"),
         "weekly_product_mix_top5": _on_lines(products.weekly_product_mix, "p_brand", top=5),
         "product_margin": _margin,
-        "product_daily_lag7": _on_lines(products.product_daily_lag, "p_brand", product="Brand#7"),
+        "product_daily_lag7": _daily_lag,
         "product_totals_per_line": _on_sales(products.product_totals_per_line),
         "product_stats_per_line": _on_sales(products.product_stats_per_line),
         # day and week series
-        "daily_revenue_change": _on_lines(trends.daily_revenue_change),
-        "daily_avg_check": _on_lines(trends.daily_avg_check),
-        "daily_traffic": _on_lines(trends.daily_traffic),
-        "daily_trends": _on_lines(trends.daily_trends),
-        "same_weekday_growth": _on_lines(trends.same_weekday_growth),
-        "same_weekday_w_mon": _on_lines(trends.same_weekday_growth, week_end="Mon"),
-        "rolling_revenue_7d": _on_lines(trends.rolling_revenue),
-        "rolling_revenue_7d_full": _on_lines(trends.rolling_revenue, min_periods=7),
-        "rolling_revenue_7d_calendar": _on_lines(trends.rolling_revenue, fill_calendar=True),
+        "daily_revenue_change": _on_receipts(trends.daily_revenue_change),
+        "daily_avg_check": _on_receipts(trends.daily_avg_check),
+        "daily_traffic": _on_receipts(trends.daily_traffic),
+        "daily_trends": _on_receipts(trends.daily_trends),
+        "same_weekday_growth": _on_receipts(trends.same_weekday_growth),
+        "same_weekday_w_mon": _on_receipts(trends.same_weekday_growth, week_end="Mon"),
+        "rolling_revenue_7d": _on_receipts(trends.rolling_revenue),
+        "rolling_revenue_7d_full": _on_receipts(trends.rolling_revenue, min_periods=7),
+        "rolling_revenue_7d_calendar": _on_receipts(trends.rolling_revenue, fill_calendar=True),
         # hours, weekdays, segments
         "hourly_load": _on_events(staffing.hourly_load),
         "weekday_load": _on_events(staffing.weekday_load),
         "weekday_load_all_days": _on_events(staffing.weekday_load, all_days=True),
-        "morning_daily": _on_events(staffing.morning_daily),
-        "revenue_per_hour_segments": _on_events(staffing.revenue_per_hour_segments),
-        "segments_by_weekday": _on_events(staffing.segments_by_weekday),
-        "afternoon_vs_evening_gap": _on_events(staffing.afternoon_vs_evening_gap),
-        "staffing_matrix": _on_events(staffing.staffing_matrix, start=EVENT_START, end=EVENT_END),
-        "staffing_matrix_integer": _on_events(
+        "morning_daily": _on_event_receipts(staffing.morning_daily),
+        "revenue_per_hour_segments": _on_event_receipts(staffing.revenue_per_hour_segments),
+        "segments_by_weekday": _on_event_receipts(staffing.segments_by_weekday),
+        "afternoon_vs_evening_gap": _on_event_receipts(staffing.afternoon_vs_evening_gap),
+        "staffing_matrix": _on_event_receipts(staffing.staffing_matrix, start=EVENT_START, end=EVENT_END),
+        "staffing_matrix_integer": _on_event_receipts(
             staffing.staffing_matrix, start=EVENT_START, end=EVENT_END, integer_division=True
         ),
-        "staffing_matrix_simple": _on_events(staffing.staffing_matrix_simple, start=EVENT_START, end=EVENT_END),
-        "revenue_heatmap": _on_events(staffing.revenue_heatmap),
+        "staffing_matrix_simple": _on_event_receipts(staffing.staffing_matrix_simple, start=EVENT_START, end=EVENT_END),
+        "revenue_heatmap": _on_event_receipts(staffing.revenue_heatmap),
         # operations and inventory
         "return_rate": _returns(operations.return_rate),
         "return_rate_by_brand": _returns(operations.return_rate, by="brand"),
@@ -355,13 +376,13 @@ def _queries() -> dict[str, Query]:
         "demand_volatility": _on_sales(inventory.demand_volatility),
         "cohort_ltv_margin": _cohorts,
         # dashboards
-        "staffing_heatmap": _on_events(dashboards.staffing_heatmap, start=EVENT_START, end=EVENT_END),
+        "staffing_heatmap": _on_event_receipts(dashboards.staffing_heatmap, start=EVENT_START, end=EVENT_END),
         "drinks_by_week": _on_lines(dashboards.drinks_by_week, "p_type", products=PART_TYPES),
         "drinks_by_week_range": _value_range,
-        "revenue_share_pie": _on_lines(dashboards.revenue_share_pie, "p_brand"),
+        "revenue_share_pie": _on_drinks(dashboards.revenue_share_pie, "p_brand"),
         "rolling_line_revenue": _on_events(dashboards.rolling_line_revenue),
-        "segments_pivot": _on_events(dashboards.segments_pivot),
-        "checks_per_segment": _on_events(dashboards.checks_per_segment),
+        "segments_pivot": _on_event_receipts(dashboards.segments_pivot),
+        "checks_per_segment": _on_event_receipts(dashboards.checks_per_segment),
         "dataset_row_count": _on_events(dashboards.row_count),
         # profiles and audits
         "validate_data": _on_table(quality.validate, "events"),
@@ -369,22 +390,23 @@ def _queries() -> dict[str, Query]:
         "null_counts": lambda spark, folder: quality.null_counts(_gaps(spark, folder)).drop("data_type"),
         "describe_numeric": _describe_numeric,
         "describe_categorical": _on_table(quality.describe_categorical, "orders"),
-        "value_frequencies": _on_lines(quality.value_counts, "p_brand", column="coffee_name", n=10),
+        "value_frequencies": _on_drinks(quality.value_counts, "p_brand", column="coffee_name", n=10),
         "audit_unique": _on_raw(quality.audit_unique, how="max_by_date"),
         "audit_repeated": _on_raw(quality.audit_repeated, how="max_by_date"),
         "audit_before_after": _on_raw(quality.audit_before_after),
         "audit_multi_line_receipts": _on_raw(quality.multi_line_receipts),
         "audit_methods_agree": _on_raw(_audit_same),
         "audit_methods_differ": _on_raw(_audit_differ),
-        "audit_revenue_totals": _on_lines(quality.audit_totals),
+        "audit_revenue_totals": _on_receipts(quality.audit_totals),
         "inconsistent_receipts": _on_raw(quality.inconsistent_receipts),
-        "receipt_box": _on_events(quality.receipt_box),
-        "order_size_stats": _on_lines(sales.order_size_stats),
+        "receipt_box": _on_event_receipts(quality.receipt_box),
+        "order_size_stats": _on_receipts(sales.order_size_stats),
         "outside_hours": _on_events(quality.outside_hours),
         "constraint_checks": _constraints,
         "dedup_distinct": _on_raw(dedup, how="distinct"),
         "dedup_max_by_date": _on_raw(dedup, how="max_by_date"),
-        "dedup_first_row": _on_raw(lambda lines: dedup(lines, "first_row", **_first_order(lines))),
+        "dedup_first_row": _on_raw(dedup, how="first_row", **_LAST),
+        "dedup_last_row": _on_raw(dedup, how="last_row", **_LAST),
         "dedup_first_value": _on_raw(_dedup_first_value),
         "dedup_consistent": _on_raw(dedup, how="consistent"),
         # preparation
@@ -403,7 +425,7 @@ def _queries() -> dict[str, Query]:
         "preprocess_pipeline": _preprocess,
         "derive_time_columns": _time_columns,
         "line_fit": _line_fit,
-        "price_histogram": _on_lines(pivots.histogram, column="drink_price"),
+        "price_histogram": _price_histogram,
         "order_calendar": _order_calendar,
         "attach_price": _priced,
         "safe_names": _safe_names,

@@ -21,51 +21,89 @@ def _day_columns(day):
     }
 
 
-def sales_lines(spark: SparkSession, folder: str, product: str | None = None) -> DataFrame:
-    """Line grain without a time. `product` names the part column that plays the drink;
-    without it the part table is not read at all."""
-    lines = table(spark, folder, "lineitem")
-    orders = table(spark, folder, "orders")
-    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-    if product:
-        part = table(spark, folder, "part").select("p_partkey", F.col(product).alias("coffee_name"))
-        joined = joined.join(part, joined.l_partkey == part.p_partkey)
-    columns = [
-        F.col("l_orderkey").alias("transaction_id"),
+def _orders(spark, folder) -> DataFrame:
+    return table(spark, folder, "orders").select(
+        "o_orderkey",
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("sale_date"),
-        F.col("l_extendedprice").cast(MONEY).alias("drink_price"),
         F.col("o_totalprice").cast(MONEY).alias("total_cost"),
         F.col("o_orderpriority").alias("payment_method"),
-    ]
-    if product:
-        columns.append(F.col("coffee_name"))
-    return joined.select(*columns).withColumns(_day_columns(F.col("sale_date")))
+    )
 
 
-def event_sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Line grain with a time: a receipt is one user's day, stamped with its first event."""
-    events = table(spark, folder, "events").select(
+def product_lines(spark: SparkSession, folder: str, product: str) -> DataFrame:
+    """Line grain with the drink and its price only; `product` names the part column that
+    plays the drink. No order column is needed, so the orders table is not read."""
+    lines = table(spark, folder, "lineitem")
+    part = table(spark, folder, "part").select("p_partkey", F.col(product).alias("coffee_name"))
+    return lines.join(part, lines.l_partkey == part.p_partkey).select(
+        F.col("l_orderkey").alias("transaction_id"),
+        "coffee_name",
+        F.col("l_extendedprice").cast(MONEY).alias("drink_price"),
+    )
+
+
+def sales_lines(spark: SparkSession, folder: str, product: str) -> DataFrame:
+    """Line grain without a time, with the receipt's columns repeated on each line."""
+    lines = product_lines(spark, folder, product)
+    orders = _orders(spark, folder)
+    joined = lines.join(orders, lines.transaction_id == orders.o_orderkey).drop("o_orderkey")
+    return joined.withColumns(_day_columns(F.col("sale_date")))
+
+
+def sales_receipts(spark: SparkSession, folder: str) -> DataFrame:
+    """The same sales reduced to receipts, for reports that need no product: one row per
+    receipt with its line count and summed price. Lines are combined before they meet the
+    orders, so a receipt with very many lines costs one row per task."""
+    lines = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
+        F.count("*").alias("n_items"), F.sum(F.col("l_extendedprice").cast(MONEY)).alias("drink_price")
+    )
+    orders = _orders(spark, folder)
+    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).drop("o_orderkey")
+    return joined.withColumnRenamed("l_orderkey", "transaction_id").withColumns(_day_columns(F.col("sale_date")))
+
+
+def _event_lines(spark, folder) -> DataFrame:
+    return table(spark, folder, "events").select(
         F.col("user_id").alias("customer_id"),
         F.col("ts").cast("date").alias("sale_date"),
         "ts",
         F.col("event_type").alias("coffee_name"),
         F.col("value").cast(MONEY).alias("drink_price"),
     )
-    heads = events.groupBy("customer_id", "sale_date").agg(
-        F.min("ts").alias("sale_ts"), F.sum("drink_price").cast(MONEY).alias("total_cost")
-    )
-    lines = events.drop("ts").join(heads, ["customer_id", "sale_date"])
-    return lines.withColumns(
-        {
-            "transaction_id": F.concat_ws("|", F.col("customer_id").cast("string"), F.col("sale_date").cast("string")),
-            "second_of_day": D.second_of_day(F.col("sale_ts")),
-            "time_of_day": time_of_day(F.col("sale_ts")),
-            **_day_columns(F.col("sale_date")),
-        }
+
+
+def _event_heads(events: DataFrame) -> DataFrame:
+    return events.groupBy("customer_id", "sale_date").agg(
+        F.min("ts").alias("sale_ts"),
+        F.sum("drink_price").cast(MONEY).alias("total_cost"),
+        F.count("*").alias("n_items"),
     )
 
 
+def _event_columns() -> dict:
+    day = F.col("sale_date")
+    return {
+        "transaction_id": F.concat_ws("|", F.col("customer_id").cast("string"), day.cast("string")),
+        "second_of_day": D.second_of_day(F.col("sale_ts")),
+        "time_of_day": time_of_day(F.col("sale_ts")),
+        **_day_columns(day),
+    }
+
+
+def event_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Line grain with a time: a receipt is one user's day, stamped with its first event."""
+    events = _event_lines(spark, folder)
+    heads = _event_heads(events).drop("n_items")
+    return events.drop("ts").join(heads, ["customer_id", "sale_date"]).withColumns(_event_columns())
+
+
+def event_receipts(spark: SparkSession, folder: str) -> DataFrame:
+    """The same receipts, one row each with its line count."""
+    heads = _event_heads(_event_lines(spark, folder))
+    return heads.withColumn("drink_price", F.col("total_cost")).withColumns(_event_columns())
+
+
 def order_lines_raw(spark: SparkSession, folder: str) -> DataFrame:
     """Line grain with a total and date that differ inside a receipt, for the audits."""
     return table(spark, folder, "lineitem").select(
