@@ -1,10 +1,9 @@
 """Exact results that need a global order, without sorting everything in one task.
 
-A group is cut into blocks of consecutive values. The block number is a monotone function
-of the value and the group's own min, max and size, so it is the same on every evaluation
-(a retried task or a second scan lands rows in the same block). Each block is ordered on
-its own; what comes before a block is a running sum over the short list of blocks.
-Small groups get one block.
+Values are cut into blocks by a monotone function, each block is ordered on its own, and
+what comes before a block is a running sum over the short list of blocks. The block of a
+value depends on the value (or on its group's min, max and size) through exactly rounded
+arithmetic only, so a retried task or a second scan puts every row in the same block.
 """
 
 from functools import reduce
@@ -27,7 +26,7 @@ def join_keys(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> Da
 
 
 def as_number(df: DataFrame, name: str) -> Column:
-    """Non-decreasing number for a numeric, date, timestamp or string column."""
+    """Increasing number for a numeric, date or timestamp column."""
     kind, col = df.schema[name].dataType, F.col(name)
     if isinstance(kind, T.DateType):
         return F.unix_date(col)
@@ -37,49 +36,37 @@ def as_number(df: DataFrame, name: str) -> Column:
         return F.unix_micros(col)
     if isinstance(kind, T.NumericType):
         return col
-    if isinstance(kind, T.StringType):
-        # the first six UTF-8 bytes, in the order Spark compares strings
-        head = F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("bigint")
     raise TypeError(f"{name} has no numeric order")
 
 
-def with_blocks(
-    df: DataFrame, order: str, by: tuple[str, ...], rows_per_block: int, **totals: Column
-) -> DataFrame:
-    """Add `_block`, non-decreasing in `order` inside each group, and whole-group `totals`."""
-    value = as_number(df, order).cast("double")
-    bounds = [F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count("*").alias("_size")]
-    bounds += [col.alias(name) for name, col in totals.items()]
-    if by:
-        ranged = join_keys(df, df.groupBy(*by).agg(*bounds), by)
-    else:
-        box = df.agg(*bounds).select(F.struct("_lo", "_hi", "_size", *totals).alias("b")).scalar()
-        ranged = df.withColumn("_b", box).select("*", "_b.*").drop("_b")
-    blocks = F.least(F.lit(MAX_BLOCKS), F.ceil(F.col("_size") / rows_per_block))
-    place = F.floor((value - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * blocks)
-    block = F.when(F.col("_hi") > F.col("_lo"), F.least(place, blocks - 1)).otherwise(F.lit(0))
-    return ranged.withColumn("_block", block.cast("bigint")).drop("_lo", "_hi", "_size")
+def value_block(df: DataFrame, name: str) -> Column:
+    """Non-decreasing block number of a value, needing no statistics.
+
+    Numbers: the fourth root in steps of 1/64, some 2,000 blocks up to a million and 36,000
+    up to 10^11. Text: the first four UTF-8 bytes, in the order Spark compares text.
+    """
+    if isinstance(df.schema[name].dataType, T.StringType):
+        head = F.rpad(F.hex(F.substring(F.encode(F.col(name), "UTF-8"), 1, 4)), 8, "0")
+        return F.conv(head, 16, 10).cast("bigint")
+    value = as_number(df, name).cast("double")
+    return (F.signum(value) * F.floor(F.sqrt(F.sqrt(F.abs(value))) * 64)).cast("bigint")
 
 
 def running_total(
-    df: DataFrame,
-    order: str,
-    weight: str,
-    by: tuple[str, ...] = (),
-    descending: bool = False,
-    rows_per_block: int = ROWS_PER_BLOCK,
+    df: DataFrame, order: str, weight: str, by: tuple[str, ...] = (), descending: bool = False
 ) -> DataFrame:
     """Add `running` (cumulative weight, equal order values share one step) and `grand_total`."""
     by = tuple(by)
     steps = df.groupBy(*by, order).agg(F.sum(weight).alias("_step"))
-    steps = with_blocks(steps, order, by, rows_per_block, grand_total=F.sum("_step"))
+    steps = steps.withColumn("_block", value_block(steps, order))
     block_key = F.col("_block").desc() if descending else F.col("_block")
     value_key = F.col(order).desc() if descending else F.col(order)
     upto = Window.partitionBy(*by).orderBy(block_key).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*by)
     blocks = (
         steps.groupBy(*by, "_block").agg(F.sum("_step").alias("_sum"))
         .withColumn("_before", F.sum("_sum").over(upto) - F.col("_sum"))
+        .withColumn("grand_total", F.sum("_sum").over(whole))
         .drop("_sum")
     )
     inside = Window.partitionBy(*by, "_block").orderBy(value_key).rowsBetween(Window.unboundedPreceding, 0)
@@ -92,12 +79,7 @@ def running_total(
 
 
 def distribution(
-    df: DataFrame,
-    value: str,
-    quantiles: dict[str, float],
-    by: tuple[str, ...] = (),
-    digits: int = 4,
-    rows_per_block: int = ROWS_PER_BLOCK,
+    df: DataFrame, value: str, quantiles: dict[str, float], by: tuple[str, ...] = (), digits: int = 4
 ) -> DataFrame:
     """Per group: n, total, min_value, max_value and exact linear-interpolated quantiles.
 
@@ -105,21 +87,29 @@ def distribution(
     """
     by = tuple(by)
     counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
-    counts = with_blocks(
-        counts, value, by, rows_per_block,
-        _count=F.sum("_n"), _total=F.sum(F.col(value) * F.col("_n")), _least=F.min(value), _most=F.max(value),
-    )
+    counts = counts.withColumn("_block", value_block(counts, value))
     upto = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*by)
     blocks = (
-        counts.groupBy(*by, "_block").agg(F.sum("_n").alias("_bn"), F.max("_count").alias("_count"))
+        counts.groupBy(*by, "_block")
+        .agg(
+            F.sum("_n").alias("_bn"),
+            F.sum(F.col(value) * F.col("_n")).alias("_bt"),
+            F.min(value).alias("_bmin"),
+            F.max(value).alias("_bmax"),
+        )
         .withColumn("_before", F.sum("_bn").over(upto) - F.col("_bn"))
+        .withColumn("_count", F.sum("_bn").over(whole))
+        .withColumn("_total", F.sum("_bt").over(whole))
+        .withColumn("_least", F.min("_bmin").over(whole))
+        .withColumn("_most", F.max("_bmax").over(whole))
     )
     position = {name: (F.col("_count") - 1) * F.lit(float(p)) for name, p in quantiles.items()}
     wanted = reduce(
         lambda a, b: a | b,
         [(F.col("_before") <= F.ceil(at)) & (F.col("_before") + F.col("_bn") > F.floor(at)) for at in position.values()],
     )
-    hits = blocks.filter(wanted).select(*by, "_block", "_before")
+    hits = blocks.filter(wanted).select(*by, "_block", "_before", "_count", "_total", "_least", "_most")
     inside = Window.partitionBy(*by, "_block").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
         join_keys(counts, hits, (*by, "_block"))
@@ -139,18 +129,30 @@ def distribution(
         F.max("_most").alias("max_value"),
         *picks,
     )
-    columns = [
-        rounded(
-            F.col(f"_lo_{name}")
-            + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}"))
-            * ((F.col("n") - 1) * F.lit(float(p)) - F.floor((F.col("n") - 1) * F.lit(float(p)))),
-            digits,
-        ).alias(name)
-        for name, p in quantiles.items()
-    ]
+    columns = []
+    for name, p in quantiles.items():
+        at = (F.col("n") - 1) * F.lit(float(p))
+        step = F.col(f"_hi_{name}") - F.col(f"_lo_{name}")
+        columns.append(rounded(F.col(f"_lo_{name}") + step * (at - F.floor(at)), digits).alias(name))
     return found.select(*by, F.coalesce("n", F.lit(0)).alias("n"), "total", "min_value", "max_value", *columns)
 
 
+def with_blocks(df: DataFrame, order: str, by: tuple[str, ...], rows_per_block: int) -> DataFrame:
+    """Add `_block` for a series: equal steps between the group's first and last order value,
+    about `rows_per_block` rows each; a small group is one block."""
+    value = as_number(df, order).cast("double")
+    bounds = (F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count("*").alias("_size"))
+    if by:
+        ranged = join_keys(df, df.groupBy(*by).agg(*bounds), by)
+    else:
+        box = df.agg(*bounds).select(F.struct("_lo", "_hi", "_size").alias("b")).scalar()
+        ranged = df.withColumn("_b", box).select("*", "_b.*").drop("_b")
+    blocks = F.least(F.lit(MAX_BLOCKS), F.ceil(F.col("_size") / rows_per_block))
+    place = F.floor((value - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * blocks)
+    block = F.when(F.col("_hi") > F.col("_lo"), F.least(place, blocks - 1)).otherwise(F.lit(0))
+    return ranged.withColumn("_block", block.cast("bigint")).drop("_lo", "_hi", "_size")
+
+
 def interpolate(
     df: DataFrame,
     column: str,

@@ -2,8 +2,9 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.functions.numbers import rounded, safe_div
 
@@ -31,11 +32,18 @@ def with_row_total(df: DataFrame, columns: list[str], name: str = "row_total") -
     return df.withColumn(name, rounded(reduce(lambda a, b: a + b, cells)))
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few literal rows whose size the optimizer knows, so joins with them are broadcast."""
+    cells = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)]) for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*cells)))
+
+
 def with_categories(df: DataFrame, column: str, categories: list, fill=0) -> DataFrame:
     """One row per declared category in declared order; missing ones filled, others dropped."""
-    spark = df.sparkSession
-    kind = df.schema[column].dataType.simpleString()
-    declared = spark.createDataFrame(list(enumerate(categories)), f"_rank int, {column} {kind}")
+    schema = T.StructType([T.StructField("_rank", T.IntegerType()), df.schema[column]])
+    declared = literal_table(df.sparkSession, list(enumerate(categories)), schema)
     joined = declared.join(df, column, "left").orderBy("_rank").drop("_rank")
     others = [c for c in df.columns if c != column]
     return joined.fillna(fill, subset=others).select(*df.columns)

@@ -134,29 +134,31 @@ def receipt_box(lines: DataFrame, k: float = 1.5) -> DataFrame:
     tx = receipts(lines)
     box = distribution(tx, TOTAL, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     box = box.withColumn("upper_fence", rounded(F.col("q3") + k * (F.col("q3") - F.col("q1")), 4))
-    fence = box.select("upper_fence").scalar()
-    above = tx.filter(F.col(TOTAL).cast("double") > fence).agg(F.count("*")).scalar()
-    return box.select(
-        "q1", "median", "q3", "upper_fence", above.alias("n_outliers"), F.col("n").alias("n_receipts"),
-        F.col("max_value").alias("max_receipt"),
+    row = box.select(F.struct("q1", "median", "q3", "upper_fence", "n", "max_value")).scalar()
+    above = F.col(TOTAL).cast("double") > F.col("_box.upper_fence")
+    counted = tx.select(TOTAL, row.alias("_box")).agg(F.count_if(above).alias("n_outliers"), F.any_value("_box").alias("b"))
+    return counted.select(
+        "b.q1", "b.median", "b.q3", "b.upper_fence", "n_outliers",
+        F.col("b.n").alias("n_receipts"), F.col("b.max_value").alias("max_receipt"),
     )
 
 
 def order_sizes(lines: DataFrame) -> DataFrame:
-    """Lines per receipt: orders, min, max, mean, median, mode and percent with exactly one."""
-    sizes = items_per_receipt(lines).withColumnRenamed("n_items", "size")
-    counts = sizes.groupBy("size").agg(F.count("*").alias("n"))
-    mode = counts.orderBy(F.desc("n"), F.asc("size")).limit(1).select("size").scalar()
-    ones = F.sum(F.when(F.col("size") == 1, F.col("n")).otherwise(0))
-    summary = counts.agg(ones.alias("ones")).select("ones").scalar()
-    return distribution(sizes, "size", {"median_size": 0.5}).select(
-        F.col("n").alias("orders"),
-        F.col("min_value").alias("min_size"),
-        F.col("max_value").alias("max_size"),
-        ratio(F.col("total"), F.col("n"), 2).alias("mean_size"),
-        "median_size",
-        mode.alias("mode_size"),
-        ratio(summary, F.col("n"), 1, 100.0).alias("single_percent"),
+    """Lines per receipt: orders, min, max, mean, median, mode and percent with exactly one.
+
+    Distinct sizes are few (their sum is at most the number of lines), so the median reads
+    (size, count) pairs directly.
+    """
+    sizes = items_per_receipt(lines).groupBy(F.col("n_items").alias("size")).agg(F.count("*").alias("n"))
+    size, n = F.col("size"), F.col("n")
+    return sizes.agg(
+        F.sum(n).alias("orders"),
+        F.min(size).alias("min_size"),
+        F.max(size).alias("max_size"),
+        ratio(F.sum(size * n), F.sum(n), 2).alias("mean_size"),
+        rounded(F.percentile(size, 0.5, n), 4).alias("median_size"),
+        F.max_by(size, F.struct(n, -size)).alias("mode_size"),
+        ratio(F.sum(F.when(size == 1, n).otherwise(0)), F.sum(n), 1, 100.0).alias("single_percent"),
     )
 
 

@@ -158,19 +158,22 @@ def check_distribution(lines: DataFrame, k: float = 1.5) -> DataFrame:
     )
 
 
-def outlier_receipts(lines: DataFrame, k: float = 1.5) -> DataFrame:
+def outlier_receipts(lines: DataFrame, k: float = 1.5, heads: DataFrame | None = None) -> DataFrame:
     """Consistent receipts above the upper fence, with their items.
 
     Only receipts above the fence get a list, and it is built from (item, count) pairs.
+    `heads` gives the same sales already reduced to receipts, if at hand.
     """
-    checks = consistent_receipts(lines)
-    fence = check_distribution(lines, k).select("upper_bound").scalar()
-    above = checks.filter(F.col(TOTAL).cast("double") > fence).select(KEY)
-    pairs = lines.join(above, KEY, "left_semi").groupBy(KEY, "coffee_name").agg(
+    heads = lines if heads is None else heads
+    fence = check_distribution(heads, k).select("upper_bound").scalar()
+    checks = consistent_receipts(heads).withColumn("_fence", fence)
+    above = checks.filter(F.col(TOTAL).cast("double") > F.col("_fence")).select(KEY, "_fence")
+    pairs = lines.join(above, KEY).groupBy(KEY, "coffee_name").agg(
         F.max(TOTAL).alias("_total"),
         F.count("*").cast("int").alias("_n"),
         F.min("sale_date").alias("_date"),
         smallest_label(F.col("time_of_day"), DAY_PARTS).alias("_part"),
+        F.max("_fence").alias("_fence"),
     )
     items = F.array_sort(F.collect_list(F.struct("coffee_name", "_n")))
     texts = F.transform(items, lambda i: F.array_join(F.array_repeat(i["coffee_name"], i["_n"]), ", "))
@@ -180,7 +183,8 @@ def outlier_receipts(lines: DataFrame, k: float = 1.5) -> DataFrame:
         F.array_join(texts, ", ").alias("items_list"),
         F.min("_date").alias("sale_date"),
         smallest_label(F.col("_part"), DAY_PARTS).alias("time_of_day"),
-    ).withColumn("upper_bound", rounded(fence, 0)).orderBy(F.desc("check_amount"), F.asc(KEY))
+        rounded(F.max("_fence"), 0).alias("upper_bound"),
+    ).orderBy(F.desc("check_amount"), F.asc(KEY))
 
 
 def menu_engineering(lines: DataFrame, n: int = 10) -> DataFrame:

@@ -92,6 +92,10 @@ def _daily_lag(spark, folder):
     )
 
 
+def _outliers(spark, folder):
+    return sales.outlier_receipts(views.event_sales(spark, folder), heads=views.event_receipts(spark, folder))
+
+
 def _price_histogram(spark, folder):
     prices = views.table(spark, folder, "lineitem").select(F.col("l_extendedprice").cast(MONEY).alias("drink_price"))
     return pivots.histogram(prices, "drink_price")
@@ -324,7 +328,7 @@ def _queries() -> dict[str, Query]:
         "order_size_distribution": _on_receipts(sales.order_size_distribution),
         "top_customers": _on_receipts(sales.top_customers),
         "check_distribution": _on_receipts(sales.check_distribution),
-        "outlier_receipts": _on_events(sales.outlier_receipts),
+        "outlier_receipts": _outliers,
         "menu_engineering": _on_drinks(sales.menu_engineering, "p_brand"),
         "check_skew_note": _on_receipts(sales.check_skew_note),
         "check_skew_note_events": _on_event_receipts(sales.check_skew_note),

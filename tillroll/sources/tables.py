@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from tillroll.constants import DRINK_PRICES, DRINK_WEIGHTS
 from tillroll.functions.labels import time_of_day
 from tillroll.operators.calendar import with_comments
+from tillroll.operators.pivots import literal_table
 from tillroll.sources.files import read_csv
 from tillroll.sources.schemas import DIM_COFFEE, DRINK_PRICE_REF
 
@@ -63,11 +64,11 @@ def dim_coffee(spark: SparkSession) -> DataFrame:
     """Drinks with their share of all drinks sold."""
     total = sum(n for _, n in DRINK_WEIGHTS)
     rows = [(i, name, n / total) for i, (name, n) in enumerate(DRINK_WEIGHTS, 1)]
-    return spark.createDataFrame(rows, DIM_COFFEE)
+    return literal_table(spark, rows, DIM_COFFEE)
 
 
 def drink_price_ref(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DRINK_PRICES, DRINK_PRICE_REF)
+    return literal_table(spark, DRINK_PRICES, DRINK_PRICE_REF)
 
 
 def attach_price(lines: DataFrame, prices: DataFrame) -> DataFrame:
