@@ -168,12 +168,15 @@ def interpolate(
     start, here = Window.unboundedPreceding, Window.currentRow
     blocked = with_blocks(df, order, by, rows_per_block)
     up = Window.partitionBy(*by, "_block").orderBy(order)
-    down = Window.partitionBy(*by, "_block").orderBy(F.col(order).desc())
     known = F.when(F.col(column).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(column).cast("double").alias("v")))
+    # the next known value comes from the same sort as the previous one
+    keys = ", ".join(f"`{c}`" for c in (*by, "_block"))
+    following = F.expr(f"lead(_known, 1) IGNORE NULLS OVER (PARTITION BY {keys} ORDER BY `{order}`)")
     rows = (
         blocked.withColumn("_pos", F.row_number().over(up).cast("bigint"))
-        .withColumn("_prev", F.last(known, ignorenulls=True).over(up.rowsBetween(start, here)))
-        .withColumn("_next", F.last(known, ignorenulls=True).over(down.rowsBetween(start, here)))
+        .withColumn("_known", known)
+        .withColumn("_prev", F.last("_known", ignorenulls=True).over(up.rowsBetween(start, here)))
+        .withColumn("_next", following)
     )
     seen = F.when(F.col(column).isNotNull(), F.col("_pos"))
     number = F.col(column).cast("double")
