@@ -92,7 +92,7 @@ def _summary(count: str, revenue: str, avg: str) -> str:
 
 
 def _q(x: str, p: float, n: int = 4) -> str:
-    return f"ROUND(quantile_cont(CAST({x} AS DOUBLE), {p}), {n})"
+    return _round(f"quantile_cont(CAST({x} AS DOUBLE), {p})", n)
 
 
 def _receipt_queries() -> dict[str, str]:

@@ -1,5 +1,6 @@
 """Every recipe and operator as a named query over a folder of Parquet tables."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,7 +80,7 @@ def _falling_demand(spark, folder):
 
 
 def _falling_demand_csv(spark, folder):
-    path = f"{shared_dir(spark)}/falling-demand-{spark.sparkContext.applicationId}"
+    path = f"{shared_dir(spark)}/falling-demand-{uuid.uuid4().hex}"
     inventory.export_falling_demand(
         views.product_sales(spark, folder), views.products(spark, folder), path, as_of=SHIP_AS_OF, days=90
     )
