@@ -7,7 +7,8 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from tillroll import registry
-from tillroll.plans import trends
+from tillroll.operators.receipts import dedup
+from tillroll.plans import products, trends
 from tillroll.sources import tables, views
 
 QUERIES = {k: q for k, q in registry._queries().items() if k != "falling_demand_csv"}
@@ -91,3 +92,32 @@ def test_a_hot_key_is_combined_before_it_moves(spark):
     assert re.search(r"hashpartitioning\(transaction_id.*\n.*HashAggregate\(keys=\[transaction_id", plan)
     total = days.agg(F.sum("revenue")).first()[0]
     assert total == lines.groupBy("transaction_id").agg(F.max("total_cost").alias("m")).agg(F.sum("m")).first()[0]
+
+
+def test_rows_of_a_hot_key_are_split_when_joined_to_their_aggregate(spark, no_broadcast):
+    settings = {
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        lines = spark.range(0, 300000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000).alias("product_id"), (F.col("id") % 97).alias("quantity")
+        )
+        joined = products.product_totals_per_line(lines)
+        execution = joined._jdf.queryExecution()
+        assert execution.toRdd().count() == 300000
+        assert "SortMergeJoin(skew=true)" in execution.executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_row_number_dedup_is_limited_before_the_shuffle(spark, folder):
+    lines = views.order_lines_raw(spark, folder)
+    plan = plan_of(dedup(lines, "row_number", order=("sale_date",)))
+    assert plan.count("WindowGroupLimit") == 2

@@ -13,18 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions.numbers import rounded
+from tillroll.operators.joins import join_keys
 
 ROWS_PER_BLOCK = 200_000
 MAX_BLOCKS = 1 << 17
 
 
-def join_keys(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
-    """Equi-join where null keys match each other; the left side's key columns are kept."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
-
-
 def as_number(df: DataFrame, name: str) -> Column:
     """Increasing number for a numeric, date or timestamp column."""
     kind, col = df.schema[name].dataType, F.col(name)

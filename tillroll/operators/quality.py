@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from tillroll.constants import DAY_PARTS
 from tillroll.functions.numbers import ratio, rounded
+from tillroll.operators.joins import join_keys
 from tillroll.operators.ordered import distribution
 from tillroll.operators.receipts import KEY, TOTAL, dedup, items_per_receipt, line_count, receipts
 
@@ -103,7 +104,7 @@ def audit_before_after(lines: DataFrame) -> DataFrame:
 def multi_line_receipts(lines: DataFrame) -> DataFrame:
     """All lines of receipts that have more than one line."""
     keys = lines.groupBy(KEY).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
-    return lines.join(keys, KEY, "left_semi")
+    return join_keys(lines.filter(F.col(KEY).isNotNull()), keys, (KEY,), "left_semi")
 
 
 def audit_methods(first: DataFrame, second: DataFrame, columns: tuple[str, ...]) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
 from tillroll.functions.numbers import ratio, rounded
+from tillroll.operators.joins import join_keys
 
 
 def series(order: str, by: tuple[str, ...] = ()) -> WindowSpec:
@@ -34,13 +35,13 @@ def moving_stddev(col: str, window: WindowSpec, rows: int, min_periods: int | No
 
 
 def with_group_stats(df: DataFrame, by: tuple[str, ...], **stats: Column) -> DataFrame:
-    """Each row plus aggregates of its group.
+    """Each row plus aggregates of its group; rows with a null key form a group.
 
     An aggregate and a join, not a window: a hot group is combined map-side and its rows
     stay spread (adaptive execution broadcasts small aggregates and splits skewed joins).
     """
     table = df.groupBy(*by).agg(*[col.alias(name) for name, col in stats.items()])
-    return df.join(table, list(by), "left")
+    return join_keys(df, table, by, "left")
 
 
 def fill_days(df: DataFrame, day: str, by: tuple[str, ...] = ()) -> DataFrame:

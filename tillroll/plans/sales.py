@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillroll.constants import DAY_NAMES, DAY_PARTS, SKEW_NORMAL, SKEW_WARNING
 from tillroll.functions.labels import smallest_label
 from tillroll.functions.numbers import percent, ratio, rounded
+from tillroll.operators.joins import join_keys
 from tillroll.operators.ordered import distribution
 from tillroll.operators.pivots import with_categories
 from tillroll.operators.quality import order_sizes
@@ -168,7 +169,7 @@ def outlier_receipts(lines: DataFrame, k: float = 1.5, heads: DataFrame | None =
     fence = check_distribution(heads, k).select("upper_bound").scalar()
     checks = consistent_receipts(heads).withColumn("_fence", fence)
     above = checks.filter(F.col(TOTAL).cast("double") > F.col("_fence")).select(KEY, "_fence")
-    pairs = lines.join(above, KEY).groupBy(KEY, "coffee_name").agg(
+    pairs = join_keys(lines, above, (KEY,)).groupBy(KEY, "coffee_name").agg(
         F.max(TOTAL).alias("_total"),
         F.count("*").cast("int").alias("_n"),
         F.min("sale_date").alias("_date"),

@@ -7,6 +7,7 @@ from tillroll.constants import SERVICE_LEVELS
 from tillroll.functions import dates as D
 from tillroll.functions.labels import time_of_day
 from tillroll.functions.numbers import MONEY
+from tillroll.operators.joins import join_keys
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -95,7 +96,7 @@ def event_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Line grain with a time: a receipt is one user's day, stamped with its first event."""
     events = _event_lines(spark, folder)
     heads = _event_heads(events).drop("n_items")
-    return events.drop("ts").join(heads, ["customer_id", "sale_date"]).withColumns(_event_columns())
+    return join_keys(events.drop("ts"), heads, ("customer_id", "sale_date")).withColumns(_event_columns())
 
 
 def event_receipts(spark: SparkSession, folder: str) -> DataFrame:
