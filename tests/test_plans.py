@@ -106,7 +106,7 @@ def test_rows_of_a_hot_key_are_split_when_joined_to_their_aggregate(spark, no_br
         spark.conf.set(k, v)
     try:
         lines = spark.range(0, 300000, 1, 8).select(
-            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000).alias("product_id"), (F.col("id") % 97).alias("quantity")
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000).alias("product_id"), F.rand(1).alias("quantity")
         )
         joined = products.product_totals_per_line(lines)
         execution = joined._jdf.queryExecution()
