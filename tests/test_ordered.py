@@ -44,6 +44,8 @@ def test_quantiles_per_group(spark):
 def test_quantiles_of_nothing(spark):
     got = distribution(spark.createDataFrame([(None,)], "v double"), "v", {"q2": 0.5}).first()
     assert (got.n, got.q2) == (0, None)
+    got = distribution(spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "v double"), "v", {"q2": 0.5}).first()
+    assert (got.n, got.q2) == (2, 2.0)
 
 
 def test_value_blocks_follow_the_order(spark):

@@ -77,10 +77,13 @@ def distribution(
 ) -> DataFrame:
     """Per group: n, total, min_value, max_value and exact linear-interpolated quantiles.
 
-    Rows are first reduced to (value, count). Only the blocks that hold a wanted rank are ordered.
+    Null and NaN are left out. Rows are first reduced to (value, count). Only the blocks that hold a wanted rank are ordered.
     """
     by = tuple(by)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+    known = F.col(value).isNotNull()
+    if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)):
+        known = known & ~F.isnan(value)
+    counts = df.filter(known).groupBy(*by, value).agg(F.count("*").alias("_n"))
     counts = counts.withColumn("_block", value_block(counts, value))
     upto = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*by)
