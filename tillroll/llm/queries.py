@@ -3,17 +3,80 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tillroll.llm.bpe import bpe_round_trip
+from tillroll.llm.embeddings import embedding_near_duplicates
+from tillroll.llm.fingerprints import edited_fingerprints
+from tillroll.llm.mixing import mix_sources
 from tillroll.llm.ngram_join import ngram_jaccard_join
+from tillroll.llm.quality import quality_scores
+from tillroll.llm.sharding import shard_groups
+from tillroll.llm.token_counts import token_counts
+from tillroll.llm.toxicity import toxicity_scores
 from tillroll.llm.workspace import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, folder, "documents"), k=4, num=85, den=100)
 
 
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op3_embedding_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_near_duplicates(table(spark, folder, "embeddings"), cosine=0.98)
+
+
+def held_out(modulus: int, remainder: int):
+    """Rows that are never learned from, told by a checksum of the id as text."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder
+
+
+def op4_quality_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    aside = held_out(4, 2)
+    labels = table(spark, folder, "labels").filter(~aside)
+    scored = quality_scores(table(spark, folder, "documents"), labels, threshold=0.7)
+    return scored.select("doc_id", aside.alias("held_out"), "score", "predicted")
+
+
+def op5_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_sources(table(spark, folder, "documents"), weights=(5, 2, 1), share=1.5, repeats=2)
+
+
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    aside = held_out(5, 0)
+    labels = table(spark, folder, "labels").filter(~aside)
+    scored = toxicity_scores(table(spark, folder, "documents"), labels, threshold=0.5)
+    return scored.select("doc_id", aside.alias("held_out"), "score", "predicted")
+
+
+def op7_shard_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return shard_groups(table(spark, folder, "documents"), 24)
+
+
+def op9_edited_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return edited_fingerprints(table(spark, folder, "documents"), share=4)
+
+
+def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    coded = bpe_round_trip(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 

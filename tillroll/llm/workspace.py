@@ -32,11 +32,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
-    """`mapInArrow` with this package on the workers' path, for installations that only the driver's path names."""
-    context = df.sparkSession.sparkContext
+def name_package(spark: SparkSession) -> None:
+    """Puts this package on the workers' path, for installations that only the driver's path names."""
+    context = spark.sparkContext
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = context.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         context.environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, root) if x)
+
+
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    name_package(df.sparkSession)
     return df.mapInArrow(run, schema)
