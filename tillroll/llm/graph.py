@@ -1,9 +1,13 @@
 """Connected components by alternating large-star and small-star steps over an edge table."""
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.workspace import materialize
+from tillroll.llm.workspace import map_arrow, materialize
+
+#: Edges that are contracted in one task.
+PART = 200_000
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -26,16 +30,44 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.filter("u != v").unionAll(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _contract(edges: DataFrame) -> DataFrame:
+    """Each partition's edges become the stars of the components that they form by themselves."""
+
+    def run(batches):
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (p := parent.setdefault(x, x)) != x:
+                parent[x] = x = parent.setdefault(p, p)
+            return x
+
+        for batch in batches:
+            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                u, v = root(u), root(v)
+                if u != v:
+                    parent[max(u, v)] = min(u, v)
+        nodes = [x for x in parent if root(x) != x]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())], names=["u", "v"]
+        )
+
+    return map_arrow(edges, run, "u long, v long")
+
+
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of `links`; component is the smallest node reachable.
 
-    Rows with a null end and self links are ignored. Each round is two joins on the edges and is written to the
-    shared folder; the number of rounds grows with the logarithm of the graph's diameter.
+    Rows with a null end and self links are ignored. First every PART edges are contracted by themselves, which leaves
+    short paths; a single part is then done. Each further round is two joins on the edges and is written to the shared
+    folder; the number of rounds grows with the logarithm of the graph's diameter.
     """
     x, y = F.col(a), F.col(b)
     edges = links.filter(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct()
     edges = materialize(edges, "edges")
-    state = _state(edges)
+    parts = -(-edges.count() // PART)
+    if parts:
+        edges = materialize(_contract(edges.coalesce(parts)), "edges")
+    state = _state(edges) if parts > 1 else (0,)
     while state[0]:
         edges = materialize(_small_star(_large_star(edges)), "edges")
         now = _state(edges)

@@ -10,8 +10,8 @@ the shingles, two linked rows share a shingle among the first `n - ceil(num * n
   order, never the result.
 * Products of a column with few rows are accumulated per pair and a pair is dropped when its count plus all that
   lies behind the shorter prefix cannot reach the bound given by the two sizes.
-* A column with many rows (families of near copies) is not multiplied out. Its rows are first compared with one row
-  of the column; what then lies in one component needs no more comparing, and only rows of different components are.
+* A column with many rows (families of near copies) is cut into blocks of rows. Two blocks are multiplied as matrices
+  over the shingles that they share, in one task, which gives back a spanning forest of the links and not the pairs.
 """
 
 from collections.abc import Iterator
@@ -23,12 +23,14 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.graph import connected_components
 from tillroll.llm.hashing import mix, shingle_sets, text_runs
-from tillroll.llm.workspace import map_arrow, materialize
+from tillroll.llm.workspace import map_arrow, materialize, name_package
 
 #: Shingles whose hash lies in the lowest 1/REGION of the range are counted.
 REGION = 4
-#: A shingle in more than this many documents is put last; a column with more classes is not multiplied out.
-FREQUENT = 64
+#: A shingle in more than this many documents is put last; a column with more classes is multiplied in blocks.
+FREQUENT = 32
+#: Rows of a block.
+BLOCK = 512
 #: Bits of each of the two bitmaps (2 ** 25 bits are 4 MB).
 BITMAP_BITS = 25
 
@@ -156,36 +158,100 @@ def _candidates(short: DataFrame, num: int, den: int) -> DataFrame:
     return counted.filter(f"({num} + {den}) * (c + least(xa, xb) + {behind}) >= {num} * (na + nb)").select("a", "b")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
-    """The pairs whose whole sets are similar enough."""
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+def _sets(involved: DataFrame, docs: DataFrame, classes: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
+    """(sig, items): the sorted shingle hashes of one document of each class in `involved`."""
     chosen = classes.join(involved, "sig").select("sig", F.col("first_id").alias("id"))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
 
     def run(batches):
         for batch in batches:
-            for at, data, offsets in text_runs(batch.column("text")):
+            for at, data, offsets in text_runs(batch.column(1)):
                 h, begin = shingle_sets(data, offsets, k)
+                n = np.diff(begin)
+                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h ^ np.uint64(0x5851F42D4C957F2D)))])
+                sig = _signed(mix(sums[begin[1:]] - sums[begin[:-1]] + n.astype(np.uint64)))
+                # rows that share an id may have another text
+                own = np.flatnonzero(sig == batch.column(0).slice(at, len(sig)).to_numpy(zero_copy_only=False))
                 sets = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(_signed(h)))
-                yield pa.RecordBatch.from_arrays([batch.column("sig").slice(at, len(sets)), sets], names=["sig", "items"])
+                yield pa.RecordBatch.from_arrays([pa.array(sig[own]), sets.take(pa.array(own))], names=["sig", "items"])
+
+    return map_arrow(texts.select("sig", "text"), run, "sig long, items array<long>").dropDuplicates(["sig"])
 
-    sets = map_arrow(texts.select("sig", "text"), run, "sig long, items array<long>").dropDuplicates(["sig"])
-    sets = materialize(sets, "sets")
+
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose whole sets are similar enough."""
     left = sets.select(F.col("sig").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("sig").alias("b"), F.col("items").alias("y"))
     joined = pairs.join(left, "a").join(right, "b").withColumn("o", F.size(F.array_intersect("x", "y")))
     return joined.filter(f"{den} * o >= {num} * (size(x) + size(y) - o)").select("a", "b")
 
 
+def _product(items: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Overlaps of the sets of two lists of rows, over the shingles that at least two of the rows hold."""
+    sizes = np.array([len(x) for x in items])
+    shingles, column, count = np.unique(np.concatenate(items), return_inverse=True, return_counts=True)
+    rows = np.repeat(np.arange(len(items)), sizes)
+    shared = count > 1
+    place = np.cumsum(shared) - 1
+    keep = shared[column]
+    matrix = np.zeros((len(items), int(shared.sum())), dtype=np.float32)
+    matrix[rows[keep], place[column[keep]]] = 1
+    return matrix[left] @ matrix[right].T
+
+
+def _block_links(num: int, den: int):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(table: pa.Table) -> pa.Table:
+        sig, side = table.column("sig").to_numpy(), table.column("side").to_numpy()
+        column = table.column("items").combine_chunks()
+        values, begin = column.flatten().to_numpy(), np.asarray(column.offsets)
+        begin = begin - begin[0]
+        items = [values[begin[i] : begin[i + 1]] for i in range(len(sig))]
+        left = np.flatnonzero(side <= 1)
+        right = np.flatnonzero(side != 1)
+        if not len(left) or not len(right):
+            return schema.empty_table()
+        n = np.diff(begin).astype(np.int64)
+        overlap = _product(items, left, right)
+        a, b = np.nonzero(den * overlap >= num * (n[left][:, None] + n[right][None, :] - overlap))
+        a, b = left[a], right[b]
+        # the least row that each row reaches by the links found here
+        names = np.arange(len(sig))
+        while True:
+            new = names.copy()
+            np.minimum.at(new, a, names[b])
+            np.minimum.at(new, b, names[a])
+            new = new[new]
+            if (new == names).all():
+                break
+            names = new
+        tied = np.flatnonzero(names != np.arange(len(sig)))
+        return pa.table({"a": sig[tied], "b": sig[names[tied]]}, schema=schema)
+
+    return run
+
+
+def _wide_links(wide: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Ties that connect what links connect among the rows of each wide column, block by block."""
+    blocks = F.ceil(F.col("width") / BLOCK)
+    own = F.pmod(F.xxhash64("sig"), blocks)
+    pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.least(own, k).alias("i"), F.greatest(own, k).alias("j")))
+    dealt = wide.select("h", "sig", own.alias("own"), F.explode(pairs).alias("pair"))
+    side = F.when(F.col("pair.i") == F.col("pair.j"), 0).when(F.col("own") == F.col("pair.i"), 1).otherwise(2)
+    dealt = dealt.select("h", "sig", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), side.alias("side"))
+    name_package(wide.sparkSession)
+    return dealt.join(sets, "sig").groupBy("h", "i", "j").applyInArrow(_block_links(num, den), "a long, b long")
+
+
 def ngram_jaccard_join(
     docs: DataFrame, *, k: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per row of `docs`: (id_col, n_shingles, component_id, n_links).
+    """One row per row of `docs`: (id_col, n_shingles, component_id).
 
     n_shingles is the size of the set of k-word shingles (words: runs of anything but ASCII white space, A-Z as
     a-z; a shorter text is one shingle). Two documents link when 100 * overlap >= 100 * num / den * union;
-    component_id is the smallest id that links reach, the own one included. n_links counts the found links of the
-    document's class to classes of other sets (at least one if there is any).
+    component_id is the smallest id that links reach, the own one included.
 
     Null and white-space texts have no shingles and link with nothing. A null id keeps its row and gets the smallest
     other id of its class, or null. Repeated rows are documents of their own with one id. An empty table gives no
@@ -195,45 +261,26 @@ def ngram_jaccard_join(
     classes = rows.filter("sig is not null").groupBy("sig").agg(F.min("id").alias("first_id"))
     maps = _bitmaps(_region_counts(docs, k, text_col))
     postings = _postings(docs, maps, k, num, den, text_col).dropDuplicates(["h", "sig"])
-    columns = postings.groupBy("h").agg(F.count("*").alias("width"), F.min("sig").alias("hub")).filter("width > 1")
+    columns = postings.groupBy("h").agg(F.count("*").alias("width")).filter("width > 1")
     live = materialize(postings.join(columns, "h"), "postings")
-    # how many columns of a class are not multiplied out
+    # how many columns of a class are not in the pair counts
     wide = live.filter(F.col("width") > FREQUENT)
     skipped = wide.groupBy("sig").agg(F.count("*").alias("long"))
     short = live.filter(F.col("width") <= FREQUENT).join(skipped, "sig", "left").fillna(0, ["long"])
-    star = wide.filter("sig != hub").select(F.least("sig", "hub").alias("a"), F.greatest("sig", "hub").alias("b"))
-    check = lambda pairs: _verified(pairs, docs, classes, k, num, den, id_col, text_col)
-    links = materialize(check(materialize(_candidates(short, num, den).unionAll(star).distinct(), "pairs")), "links")
-    parts = connected_components(links)
-    rest = materialize(_across(wide, parts, num, den), "rest")
-    if not rest.isEmpty():
-        links = materialize(links.unionAll(check(rest)).distinct(), "links")
-        parts = connected_components(links)
-    return _described(rows, classes, parts, links, id_col)
-
-
-def _across(wide: DataFrame, parts: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of rows of one wide column that lie in different components."""
-    named = wide.join(parts.withColumnRenamed("node", "sig"), "sig", "left")
-    named = named.withColumn("component", F.coalesce("component", "sig"))
-    mixed = named.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi")
-    left = named.join(mixed.select("h"), "h").select("h", "sig", "n", "component")
-    pairs = left.alias("a").join(
-        left.alias("b"),
-        F.expr(f"a.h = b.h and a.sig < b.sig and a.component != b.component and {_possible(num, den)}"),
-    )
-    return pairs.select(F.col("a.sig").alias("a"), F.col("b.sig").alias("b")).distinct()
+    pairs = materialize(_candidates(short, num, den), "pairs")
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("sig")).unionAll(wide.select("sig")).distinct()
+    sets = materialize(_sets(involved, docs, classes, k, id_col, text_col), "sets")
+    ties = _verified(pairs, sets, num, den).unionAll(_wide_links(wide, sets, num, den))
+    return _described(rows, classes, connected_components(ties), id_col)
 
 
-def _described(rows: DataFrame, classes: DataFrame, parts: DataFrame, links: DataFrame, id_col: str) -> DataFrame:
+def _described(rows: DataFrame, classes: DataFrame, parts: DataFrame, id_col: str) -> DataFrame:
     named = classes.join(parts.withColumnRenamed("node", "sig"), "sig", "left")
     named = named.withColumn("component", F.coalesce("component", "sig"))
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    degree = links.select(F.explode(F.array("a", "b")).alias("sig")).groupBy("sig").agg(F.count("*").alias("n_links"))
-    known = named.join(least, "component").join(degree, "sig", "left").select("sig", "component_id", "n_links")
+    known = named.join(least, "component").select("sig", "component_id")
     out = rows.join(known, "sig", "left")
     return out.select(
         F.col("id").alias(id_col), "n_shingles",
         F.when(F.col("sig").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
