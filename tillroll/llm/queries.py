@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.bpe import bpe_round_trip
 from tillroll.llm.embeddings import embedding_near_duplicates
 from tillroll.llm.fingerprints import edited_fingerprints
+from tillroll.llm.line_dedup import line_dedup
 from tillroll.llm.mixing import mix_sources
 from tillroll.llm.ngram_join import ngram_jaccard_join
 from tillroll.llm.quality import quality_scores
@@ -65,6 +66,14 @@ def op7_shard_groups(spark: SparkSession, folder: str) -> DataFrame:
     return shard_groups(table(spark, folder, "documents"), 24)
 
 
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_dedup(table(spark, folder, "documents"), edits=2, min_chars=20)
+    return kept.select(
+        "doc_id", F.col("n_lines").cast("long").alias("n_lines"), "removed_lines",
+        F.length("text").cast("long").alias("kept_chars"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op9_edited_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return edited_fingerprints(table(spark, folder, "documents"), share=4)
 
