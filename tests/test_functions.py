@@ -77,9 +77,11 @@ def test_labels(spark):
     assert one(spark, L.category_rank(F.lit("Night"), DAY_PARTS)) is None
     assert one(spark, L.safe_name(F.lit(" Лист #1/2 a-b_c "))) == "Лист _1_2 a-b_c"
     assert one(spark, D.clock_text(F.lit(45296))) == "12:34:56"
-    assert one(spark, D.clock_text(L.period_second(F.lit(10), F.lit("morning")))) == "08:00:00"
-    assert one(spark, D.clock_text(L.period_second(F.lit(80000), F.lit("evening")))) == "19:59:59"
-    assert one(spark, D.clock_text(L.period_second(F.lit(80000), F.lit("night")))) == "08:00:00"
+    assert one(spark, L.title_case(F.lit("iced LATTE macchiato"))) == "Iced Latte Macchiato"
+
+
+def test_as_of_defaults_to_today(spark):
+    assert one(spark, D.as_of_date(None) == F.current_date()) is True
 
 
 def test_smallest_label_equals_min(spark):

@@ -8,7 +8,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tillroll.operators.ordered import distribution, interpolate, running_total, value_block
+from tillroll.operators import ordered
+from tillroll.operators.ordered import distribution, interpolate, running_total, with_value_block
 from tillroll.operators.prep import fit_ordinal
 
 PROBS = {"p10": 0.1, "q1": 0.25, "q2": 0.5, "q3": 0.75, "p90": 0.9}
@@ -51,13 +52,25 @@ def test_quantiles_of_nothing(spark):
 def test_value_blocks_follow_the_order(spark):
     values = sorted([-1e9, -3.5, -0.01, 0.0, 0.01, 1.0, 2.0, 99.99, 100.0, 1e6, 1e12])
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    blocks = [r.b for r in df.select("v", value_block(df, "v").alias("b")).orderBy("v").collect()]
+    blocks = [r._block for r in with_value_block(df, "v").orderBy("v").collect()]
     assert blocks == sorted(blocks)
     words = spark.createDataFrame([(w,) for w in ["", "A", "Brand#10", "Brand#2", "b", "я"]], "v string")
-    blocks = [r.b for r in words.select("v", value_block(words, "v").alias("b")).orderBy("v").collect()]
+    blocks = [r._block for r in with_value_block(words, "v").orderBy("v").collect()]
     assert blocks == sorted(blocks)
 
 
+@pytest.mark.parametrize("value", [
+    "cast(id + 1000000000000000000 as bigint)", "1000 + id / 20000", "id / 200000", "concat('Customer#', lpad(id, 9, '0'))",
+    "timestamp_ntz '2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id)", "if(id = 0, -1e15, id)",
+])
+def test_blocks_follow_the_data(spark, value):
+    """Narrow bands, surrogate keys, texts with a common start and outliers are spread like any other values."""
+    n = 200_000
+    df = spark.range(n).select(F.expr(value).alias("v"))
+    sizes = [r["count"] for r in with_value_block(df, "v").groupBy("_block").count().collect()]
+    assert sum(sizes) == n and max(sizes) <= 2 * max(n / ordered.FAN**2, 300)
+
+
 @pytest.mark.parametrize("descending", [False, True])
 def test_running_total_steps_ties_together(spark, descending):
     rng = np.random.default_rng(5)
@@ -75,20 +88,30 @@ def test_ordinal_dictionary_is_sorted(spark):
     assert got == {w: i for i, w in enumerate(sorted(words))}
 
 
-@pytest.mark.parametrize("rows_per_block", [3, 50, 200_000])
-def test_interpolation_equals_pandas(spark, rows_per_block):
+@pytest.mark.parametrize("fan", [1, 2, 32])
+def test_interpolation_equals_pandas(spark, monkeypatch, fan):
+    monkeypatch.setattr(ordered, "FAN", fan)
     rng = np.random.default_rng(11)
     keys = rng.choice(["hot", "a", "b"], 600, p=[0.8, 0.15, 0.05])
     values = np.where(rng.random(600) < 0.6, np.nan, rng.integers(0, 1000, 600).astype(float))
     values[-40:] = np.nan
     values[:25] = np.nan
     pdf = pd.DataFrame({"k": keys, "t": np.cumsum(rng.integers(1, 50, 600)), "v": values})
-    df = spark.createDataFrame(pdf).withColumn("v", F.when(~F.isnan("v"), F.col("v"))).repartition(4)
-    got = interpolate(df, "v", "t", ("k",), rows_per_block).toPandas().sort_values("t").v.to_numpy(float)
+    df = spark.createDataFrame(pdf).repartition(4)
+    got = interpolate(df, "v", "t", ("k",)).toPandas().sort_values("t").v.to_numpy(float)
     want = pdf.groupby("k").v.transform(lambda s: s.interpolate(method="linear")).to_numpy(float)
     np.testing.assert_allclose(got, want, atol=1e-9)
 
 
+def test_interpolation_with_equal_times(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"t": rng.integers(0, 20, 400), "e": rng.permutation(400), "v": np.where(rng.random(400) < 0.5, np.nan, rng.random(400))})
+    pdf = pdf.sort_values(["t", "e"], ignore_index=True)
+    df = spark.createDataFrame(pdf).repartition(7)
+    got = interpolate(df, "v", ("t", "e")).toPandas().sort_values(["t", "e"]).v.to_numpy(float)
+    np.testing.assert_allclose(got, pdf.v.interpolate(method="linear").to_numpy(float), atol=1e-9)
+
+
 def test_interpolation_edges(spark):
     day = lambda i: dt.date(2025, 1, i)
     df = spark.createDataFrame([(day(1), None), (day(2), 1.0), (day(3), None), (day(9), 3.0), (day(10), None)], "d date, v double")

@@ -11,7 +11,7 @@ from tillroll.operators.receipts import dedup
 from tillroll.plans import products, trends
 from tillroll.sources import tables, views
 
-QUERIES = {k: q for k, q in registry._queries().items() if k != "falling_demand_csv"}
+QUERIES = {k: q for k, q in registry._queries().items() if k not in ("falling_demand_csv", "csv_dialect", "load_and_insert")}
 
 
 @pytest.fixture
@@ -33,6 +33,8 @@ def test_joins_are_equi_joins_and_code_stays_in_the_jvm(spark, folder, no_broadc
 def test_global_windows_only_see_aggregates(spark, folder):
     """Below every single-partition exchange feeding a window there is an aggregate."""
     for name in QUERIES:
+        if name == "limit_rows":  # its one partition holds at most the limit
+            continue
         plan = plan_of(QUERIES[name](spark, folder)).split("\n")
         for i, line in enumerate(plan):
             if "Exchange SinglePartition" in line:

@@ -1,10 +1,16 @@
+import datetime as dt
+from decimal import Decimal as M
+
 import pytest
 from pyspark.sql import functions as F
 
 from tillroll.operators import allocate as A
 from tillroll.operators import prep as P
-from tillroll.operators.pivots import distinct_values, histogram, with_row_total, percent_rank_average
-from tillroll.constants import DRINK_WEIGHTS, WEEKDAY_SHARES, WEEKEND_SHARES
+from tillroll.operators.pivots import histogram, percent_rank_average, with_row_total
+from tillroll.operators.quality import null_counts
+from tillroll.plans import dashboards
+from tillroll.sources import tables
+from tillroll.constants import WEEKDAY_SHARES, WEEKEND_SHARES
 
 
 @pytest.fixture
@@ -33,7 +39,7 @@ def test_mode_prefers_the_smallest_of_ties(spark):
 def test_duplicates_and_empty_rows(spark):
     df = spark.createDataFrame([(1, "x"), (1, "x"), (1, "y"), (None, None)], "a int, b string")
     assert P.remove_duplicates(df).count() == 3
-    assert P.remove_duplicates(df, ["a"]).count() == 2
+    assert P.remove_duplicates(df, ["a"], order=("b",)).count() == 2
     assert P.drop_empty_rows(df).count() == 3
 
 
@@ -55,9 +61,7 @@ def test_encoders(spark):
     assert hot.columns == ["i", "k_a", "k_b", "k_c"]
     assert [tuple(r) for r in hot.orderBy("i").collect()] == [(1, 1.0, 0.0, 0.0), (2, 0.0, 0.0, 0.0), (3, 0.0, 0.0, 0.0)]
     codes = P.encode_categorical(use, ["k"], "ordinal", fit_on=fit)
-    assert [r.k for r in codes.orderBy("i").collect()] == [0, -1, -1]
-    with pytest.raises(ValueError):
-        distinct_values(fit, "k", 2)
+    assert [r.k for r in codes.orderBy("i").collect()] == [0, -1, None]
 
 
 def test_scaling_uses_the_population_deviation(spark):
@@ -96,15 +100,70 @@ def test_expand(spark):
     assert counts == {"a": (3, 1, 3, 3), "d": (250, 1, 250, 250)}
 
 
-def test_weighted_pick(spark):
-    u = A.unit_hash(F.col("id"), seed=1)
-    df = spark.range(20000).select(u.alias("u"), A.weighted_pick(u, [("x", 1), ("y", 3)]).alias("c"))
-    assert df.filter("u < 0 or u >= 1").count() == 0
-    share = df.filter("c = 'x'").count() / 20000
-    assert share == pytest.approx(0.25, abs=0.02)
-    edges = spark.createDataFrame([(0.0,), (0.25,), (0.999999,)], "u double").select(A.weighted_pick(F.col("u"), [("x", 1), ("y", 3)]))
-    assert [r[0] for r in edges.collect()] == ["x", "y", "y"]
-    assert sum(n for _, n in DRINK_WEIGHTS) == 3547
+def test_interval_lookup(spark):
+    bands = [("low", 10), ("mid", 20), ("high", None)]
+    df = spark.createDataFrame([(v,) for v in (-5.0, 9.99, 10.0, 19.0, 20.0, 1e9, None)], "v double")
+    got = [r[0] for r in df.select(A.interval_lookup(F.col("v"), bands)).collect()]
+    assert got == ["low", "low", "mid", "mid", "high", "high", None]
+    assert df.select(A.interval_lookup(F.col("v"), bands[:2]).alias("b")).filter("b is null").count() == 3
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, None), (4, 3.0)], "i int, v double")
+    values = lambda d: [r.v for r in d.orderBy("i").collect()]
+    assert values(P.handle_missing(df, "mean", ["v"])) == [1.0, 2.0, 2.0, 3.0]
+    assert values(P.handle_missing(df, "median")) == [1.0, 2.0, 2.0, 3.0]
+    assert values(P.handle_missing(df, "most_frequent", ["v"])) == [1.0, 1.0, 1.0, 3.0]
+    assert values(P.handle_missing(df, "drop")) == [1.0, 3.0]
+    assert values(P.handle_missing(df, "interpolate", order="i")) == pytest.approx([1.0, 5 / 3, 7 / 3, 3.0])
+    assert values(P.standard_scale(df, ["v"])) == [-1.0, None, None, 1.0]
+    assert null_counts(df).filter("column_name = 'v'").first().missing == 2
+
+
+def test_missing_categories(spark):
+    df = spark.createDataFrame([(1, "b"), (2, None), (3, "a")], "i int, k string")
+    rows = lambda d: [tuple(r) for r in d.orderBy("i").collect()]
+    assert rows(P.encode_categorical(df, ["k"], "ordinal")) == [(1, 1), (2, None), (3, 0)]
+    got = P.encode_categorical(df, ["k"], "onehot")
+    assert got.columns == ["i", "k_a", "k_b", "k_None"]
+    assert rows(got) == [(1, 0.0, 1.0, 0.0), (2, 0.0, 0.0, 1.0), (3, 1.0, 0.0, 0.0)]
+    assert rows(P.encode_categorical(df, ["k"], "onehot_index")) == [(1, 1), (2, 2), (3, 0)]
+    seen = df.filter("k = 'a'")
+    assert rows(P.encode_categorical(df, ["k"], "onehot_index", fit_on=seen)) == [(1, None), (2, None), (3, 0)]
+    for method in ("ordinal", "onehot"):
+        with pytest.raises(Exception, match="unknown category b"):
+            rows(P.encode_categorical(df, ["k"], method, fit_on=df.filter("k is null or k = 'a'"), handle_unknown="error"))
+        assert len(rows(P.encode_categorical(df, ["k"], method, handle_unknown="error"))) == 3
+    many = spark.range(1500).select(F.col("id").alias("i"), F.concat(F.lit("c"), F.col("id")).alias("k"))
+    assert P.encode_categorical(many, ["k"], "onehot_index").agg(F.max("k")).first()[0] == 1499
+    assert len(P.fit_onehot(many, ["k"])["k"]) == 1500
+
+
+def test_first_row_of_a_subset(spark):
+    df = spark.createDataFrame([("a", 3, 1), ("a", 1, 2), ("a", 1, 3), ("b", 9, 4), (None, 1, 5)], "k string, t int, i int")
+    got = P.remove_duplicates(df.repartition(4), ["k"], order=("t", "i"))
+    assert sorted(r.i for r in got.collect()) == [2, 4, 5]
+    with pytest.raises(ValueError):
+        P.remove_duplicates(df, ["k"])
+
+
+def test_no_product_is_lost(spark):
+    rows = [("2025-07-07", f"p{i:03}", M(i + 1)) for i in range(150)] + [("2025-07-08", None, M(5))]
+    lines = spark.createDataFrame(rows, "sale_date string, coffee_name string, drink_price decimal(18,2)")
+    lines = lines.withColumn("sale_date", F.col("sale_date").cast("date"))
+    pie = dashboards.revenue_share_pie(lines)
+    assert pie.count() == 151 and pie.agg(F.sum("contribution")).first()[0] == pytest.approx(1.0, abs=1e-4)
+    best = dashboards.revenue_share_pie(lines, limit=2).collect()
+    assert [r.coffee_name for r in best] == ["p149", "p148"] and best[0].contribution == pytest.approx(150 / 11330, abs=1e-6)
+    assert dashboards.drinks_by_week(lines, ["p000", "p001"]).collect()[0].asDict() == {
+        "week_start": dt.date(2025, 7, 7), "p000": 1, "p001": 1, "other": 149}
+    assert len(dashboards.drinks_by_week(lines).columns) == 151
+
+
+def test_union(spark):
+    a, b = spark.createDataFrame([(1, "x")], "i int, k string"), spark.createDataFrame([("y", 2), ("y", 2)], "k string, i int")
+    got = tables.union_all(a, b, spark.createDataFrame([(3,)], "i int"))
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, "x"), (2, "y"), (2, "y"), (3, None)]
 
 
 def test_histogram_and_pivot_helpers(spark):

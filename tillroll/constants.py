@@ -46,10 +46,6 @@ DRINK_WEIGHTS = [
 WEEKDAY_SHARES = [("morning", Decimal("0.40")), ("afternoon", Decimal("0.50")), ("evening", Decimal("0.10"))]
 WEEKEND_SHARES = [("morning", Decimal("0.20")), ("afternoon", Decimal("0.60")), ("evening", Decimal("0.20"))]
 
-# First and last second of each generated period.
-PERIOD_SECONDS = {"morning": (28800, 43199), "afternoon": (39600, 57599), "evening": (57600, 71999)}
-PERIOD_DEFAULT_SECOND = 28800
-
 # Normal quantiles by service level, and service level by product class.
 Z_BY_SERVICE_LEVEL = {0.80: 0.84, 0.90: 1.28, 0.95: 1.65, 0.99: 2.33}
 SERVICE_LEVELS = {
@@ -73,3 +69,11 @@ RETURN_STATUSES = ["returned", "delivered", "in_transit"]
 # Default calendar bounds.
 CALENDAR_START = "1770-01-01"
 CALENDAR_END = "2030-12-31"
+
+# Column comments of the date dimension.
+CALENDAR_COMMENTS = {
+    "date_key": "Unique key in YYYYMMDD format",
+    "date": "Actual date",
+    "is_weekend": "TRUE if the day is Saturday or Sunday",
+    "fiscal_year": "Fiscal year starting from July",
+}

@@ -9,11 +9,8 @@ from tillroll.constants import (
     EVENING_LAST,
     EVENING_START,
     MORNING_START,
-    PERIOD_DEFAULT_SECOND,
-    PERIOD_SECONDS,
     SEGMENT_START,
 )
-from tillroll.functions.numbers import clamp
 
 
 def time_of_day(ts: Column) -> Column:
@@ -57,14 +54,11 @@ def smallest_label(col: Column, categories: list[str]) -> Column:
     return F.try_element_at(ordered, first.cast("int"))
 
 
-def period_second(seconds: Column, period: Column) -> Column:
-    """Second of the day moved into the bounds of its period; a default for other periods."""
-    result = F.lit(PERIOD_DEFAULT_SECOND)
-    for name, (first, last) in PERIOD_SECONDS.items():
-        result = F.when(period == name, clamp(seconds, F.lit(first), F.lit(last))).otherwise(result)
-    return result
-
-
 def safe_name(col: Column) -> Column:
     """Letters, digits, blank, '_' and '-' stay; anything else becomes '_'."""
     return F.trim(F.regexp_replace(col, r"[^\p{L}\p{N} _-]", "_"))
+
+
+def title_case(col: Column) -> Column:
+    """First letter of each word in upper case, the rest in lower case."""
+    return F.initcap(col)

@@ -4,12 +4,21 @@ Money is summed as decimal and divided once, in double. The quotient goes throug
 decimal(38,8) before `round`, so 0.285 rounds up to 0.29 whatever its binary form.
 """
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
 
 
+def present(df: DataFrame, name: str) -> Column:
+    """The column with NaN turned into null: both count as missing everywhere."""
+    col = F.col(f"`{name}`")
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(col), col)
+    return col
+
+
 def rounded(col: Column, digits: int = 2) -> Column:
     """Half-up rounding as double."""
     return F.round(col.cast("decimal(38,8)"), digits).cast("double")

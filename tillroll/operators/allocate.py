@@ -1,4 +1,4 @@
-"""Splitting totals, weighted assignment and row expansion, all deterministic."""
+"""Splitting totals, interval lookup and row expansion, all deterministic."""
 
 from decimal import Decimal
 
@@ -31,21 +31,14 @@ def split_total(total: Column, shares: list[tuple[str, Decimal]]) -> Column:
     )
 
 
-def unit_hash(*key: Column, seed: int = 0) -> Column:
-    """Key and seed mapped to [0, 1): the first 32 bits of an MD5."""
-    text = F.concat_ws(":", *[k.cast("string") for k in key], F.lit(str(seed)))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
-
-
-def weighted_pick(u: Column, weights: list[tuple[str, int]]) -> Column:
-    """Category whose cumulative-weight interval [lo, hi) holds `u` in [0, 1)."""
-    total = sum(w for _, w in weights)
-    pick = F.lit(weights[-1][0])
-    upper = total
-    for i in range(len(weights) - 1, 0, -1):
-        upper -= weights[i][1]
-        pick = F.when(u < F.lit(upper / total), F.lit(weights[i - 1][0])).otherwise(pick)
-    return pick
+def interval_lookup(value: Column, intervals: list[tuple]) -> Column:
+    """Name of the interval that holds `value`, from (name, upper bound) in rising order; a bound belongs to the next
+    interval, None as the last bound is open. Null for null and beyond a closed end."""
+    name = F.lit(None).cast("string")
+    for label, upper in reversed(intervals):
+        inside = value.isNotNull() if upper is None else value < F.lit(upper)
+        name = F.when(inside, F.lit(label)).otherwise(name)
+    return name
 
 
 def expand_by_count(df: DataFrame, count: str, name: str = "seq", chunk: int = 100_000) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.constants import CALENDAR_END, CALENDAR_START
+from tillroll.constants import CALENDAR_COMMENTS, CALENDAR_END, CALENDAR_START
 from tillroll.functions import dates as D
 
 
@@ -41,15 +41,6 @@ def date_columns(d: Column) -> list[Column]:
     ]
 
 
-# Column comments carried in the schema.
-COMMENTS = {
-    "date_key": "Unique key in YYYYMMDD format",
-    "date": "Actual date",
-    "is_weekend": "TRUE if the day is Saturday or Sunday",
-    "fiscal_year": "Fiscal year starting from July",
-}
-
-
 def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
     for name, text in comments.items():
         df = df.withMetadata(name, {"comment": text})
@@ -60,11 +51,11 @@ def date_dim(spark: SparkSession, start: str = CALENDAR_START, end: str = CALEND
     """One row per day from start to end, both included."""
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
     days = spark.range(1).select(F.explode(F.sequence(first, last)).alias("d"))
-    return with_comments(days.select(*date_columns(F.col("d"))), COMMENTS)
+    return with_comments(days.select(*date_columns(F.col("d"))), CALENDAR_COMMENTS)
 
 
 def calendar_for(df: DataFrame, column: str) -> DataFrame:
     """Date dimension from the first to the last date found in `column`."""
     bounds = df.agg(F.min(column).alias("a"), F.max(column).alias("b")).filter(F.col("a").isNotNull())
     days = bounds.select(F.explode(F.sequence("a", "b")).alias("d"))
-    return with_comments(days.select(*date_columns(F.col("d"))), COMMENTS)
+    return with_comments(days.select(*date_columns(F.col("d"))), CALENDAR_COMMENTS)

@@ -1,9 +1,9 @@
 """Exact results that need a global order, without sorting everything in one task.
 
-Values are cut into blocks by a monotone function, each block is ordered on its own, and
-what comes before a block is a running sum over the short list of blocks. The block of a
-value depends on the value (or on its group's min, max and size) through exactly rounded
-arithmetic only, so a retried task or a second scan puts every row in the same block.
+Values are cut into blocks by boundaries that follow the data, each block is ordered on its
+own, and what comes before a block is a running sum over the short list of blocks. The
+boundaries are computed once per query and kept by the driver, so a retried task or a
+second scan puts every row in the same block.
 """
 
 from functools import reduce
@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.functions.numbers import rounded
+from tillroll.functions.numbers import present, rounded
 from tillroll.operators.joins import join_keys
 
-ROWS_PER_BLOCK = 200_000
-MAX_BLOCKS = 1 << 17
+#: Blocks are FAN * FAN ranges of like row counts.
+FAN = 32
 
 
 def as_number(df: DataFrame, name: str) -> Column:
@@ -33,17 +33,48 @@ def as_number(df: DataFrame, name: str) -> Column:
     raise TypeError(f"{name} has no numeric order")
 
 
-def value_block(df: DataFrame, name: str) -> Column:
-    """Non-decreasing block number of a value, needing no statistics.
+def _text_number(col: Column, skip: Column) -> Column:
+    """Increasing number for texts that agree in their first `skip` bytes: the next seven bytes."""
+    head = F.substring(F.encode(col, "UTF-8"), skip + 1, F.lit(7))
+    return F.conv(F.rpad(F.hex(head), 14, "0"), 16, 10).cast("bigint")
 
-    Numbers: the fourth root in steps of 1/64, some 2,000 blocks up to a million and 36,000
-    up to 10^11. Text: the first four UTF-8 bytes, in the order Spark compares text.
+
+def _common_bytes(df: DataFrame, name: str) -> Column:
+    """Scalar: how many leading bytes the least and the greatest text share, and so all between them."""
+    ends = df.agg(F.min(name).alias("a"), F.max(name).alias("b"))
+    a, b = F.hex(F.encode("a", "UTF-8")), F.hex(F.encode("b", "UTF-8"))
+    most = F.least(F.length(a), F.length(b)) / 2
+    same = F.filter(F.sequence(F.lit(0), most.cast("int")), lambda k: F.substr(a, F.lit(1), k * 2) == F.substr(b, F.lit(1), k * 2))
+    return ends.select(F.coalesce(F.array_max(same), F.lit(0))).scalar()
+
+
+def with_value_block(df: DataFrame, name: str) -> DataFrame:
+    """Add `_block`, a non-decreasing block number of a value, from FAN * FAN - 1 boundaries at like row counts.
+
+    The boundaries are approximate quantiles of a number that grows with the value, taken once per query as a scalar
+    subquery, so values crowded in a narrow band, surrogate keys or texts with a common start are spread like any
+    others. Equal values share a block. Rows should be reduced to distinct values first.
     """
     if isinstance(df.schema[name].dataType, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(F.col(name), "UTF-8"), 1, 4)), 8, "0")
-        return F.conv(head, 16, 10).cast("bigint")
-    value = as_number(df, name).cast("double")
-    return (F.signum(value) * F.floor(F.sqrt(F.sqrt(F.abs(value))) * 64)).cast("bigint")
+        number = _text_number(F.col(name), _common_bytes(df, name))
+    else:
+        number = as_number(df, name).cast("double")
+    at = [i / (FAN * FAN) for i in range(1, FAN * FAN)]
+    numbered = df.withColumn("_number", number)
+    bounds = numbered.agg(F.percentile_approx("_number", F.array(*map(F.lit, at)), F.lit(20 * FAN * FAN)).alias("b"))
+    # two levels: every FAN-th boundary, then those between two of them
+    levels = bounds.select(
+        F.struct(
+            F.transform(F.sequence(F.lit(1), F.lit(FAN - 1)), lambda i: F.get(F.col("b"), i * FAN - 1)).alias("coarse"),
+            F.transform(
+                F.sequence(F.lit(0), F.lit(FAN - 1)), lambda i: F.slice(F.col("b"), i * FAN + 1, F.lit(FAN - 1))
+            ).alias("fine"),
+        )
+    ).scalar()
+    below = lambda xs: F.size(F.filter(xs, lambda b: b < F.col("_number")))
+    placed = numbered.withColumn("_cuts", levels).withColumn("_top", below(F.col("_cuts.coarse")))
+    block = F.col("_top") * FAN + below(F.get(F.col("_cuts.fine"), F.col("_top")))
+    return placed.withColumn("_block", block.cast("bigint")).drop("_number", "_cuts", "_top")
 
 
 def running_total(
@@ -52,7 +83,7 @@ def running_total(
     """Add `running` (cumulative weight, equal order values share one step) and `grand_total`."""
     by = tuple(by)
     steps = df.groupBy(*by, order).agg(F.sum(weight).alias("_step"))
-    steps = steps.withColumn("_block", value_block(steps, order))
+    steps = with_value_block(steps, order)
     block_key = F.col("_block").desc() if descending else F.col("_block")
     value_key = F.col(order).desc() if descending else F.col(order)
     upto = Window.partitionBy(*by).orderBy(block_key).rowsBetween(Window.unboundedPreceding, 0)
@@ -80,11 +111,8 @@ def distribution(
     Null and NaN are left out. Rows are first reduced to (value, count). Only the blocks that hold a wanted rank are ordered.
     """
     by = tuple(by)
-    known = F.col(value).isNotNull()
-    if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)):
-        known = known & ~F.isnan(value)
-    counts = df.filter(known).groupBy(*by, value).agg(F.count("*").alias("_n"))
-    counts = counts.withColumn("_block", value_block(counts, value))
+    counts = df.filter(present(df, value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+    counts = with_value_block(counts, value)
     upto = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*by)
     blocks = (
@@ -134,49 +162,30 @@ def distribution(
     return found.select(*by, F.coalesce("n", F.lit(0)).alias("n"), "total", "min_value", "max_value", *columns)
 
 
-def with_blocks(df: DataFrame, order: str, by: tuple[str, ...], rows_per_block: int) -> DataFrame:
-    """Add `_block` for a series: equal steps between the group's first and last order value,
-    about `rows_per_block` rows each; a small group is one block."""
-    value = as_number(df, order).cast("double")
-    bounds = (F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count("*").alias("_size"))
-    if by:
-        ranged = join_keys(df, df.groupBy(*by).agg(*bounds), by)
-    else:
-        box = df.agg(*bounds).select(F.struct("_lo", "_hi", "_size").alias("b")).scalar()
-        ranged = df.withColumn("_b", box).select("*", "_b.*").drop("_b")
-    blocks = F.least(F.lit(MAX_BLOCKS), F.ceil(F.col("_size") / rows_per_block))
-    place = F.floor((value - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * blocks)
-    block = F.when(F.col("_hi") > F.col("_lo"), F.least(place, blocks - 1)).otherwise(F.lit(0))
-    return ranged.withColumn("_block", block.cast("bigint")).drop("_lo", "_hi", "_size")
-
-
-def interpolate(
-    df: DataFrame,
-    column: str,
-    order: str,
-    by: tuple[str, ...] = (),
-    rows_per_block: int = ROWS_PER_BLOCK,
-) -> DataFrame:
-    """Fill nulls linearly by row position along `order`, which must be unique per group.
+def interpolate(df: DataFrame, column: str, order: str | tuple[str, ...], by: tuple[str, ...] = ()) -> DataFrame:
+    """Fill missing values linearly by row position along `order`, which must be unique per group: give as many columns
+    as that takes, the first a number, date or time.
 
-    Leading nulls stay null; trailing nulls take the last known value.
+    Leading gaps stay null; trailing gaps take the last known value. Null order values come first.
     """
-    by = tuple(by)
+    by, order = tuple(by), (order,) if isinstance(order, str) else tuple(order)
     start, here = Window.unboundedPreceding, Window.currentRow
-    blocked = with_blocks(df, order, by, rows_per_block)
-    up = Window.partitionBy(*by, "_block").orderBy(order)
-    known = F.when(F.col(column).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(column).cast("double").alias("v")))
+    number = present(df, column).cast("double")
+    blocked = with_value_block(df, order[0]).withColumn("_value", number)
+    blocked = blocked.withColumn("_block", F.when(F.col(order[0]).isNull(), -1).otherwise(F.col("_block")))
+    up = Window.partitionBy(*by, "_block").orderBy(*order)
+    known = F.when(F.col("_value").isNotNull(), F.struct(F.col("_pos").alias("p"), F.col("_value").alias("v")))
     # the next known value comes from the same sort as the previous one
-    keys = ", ".join(f"`{c}`" for c in (*by, "_block"))
-    following = F.expr(f"lead(_known, 1) IGNORE NULLS OVER (PARTITION BY {keys} ORDER BY `{order}`)")
+    keys, along = (", ".join(f"`{c}`" for c in names) for names in ((*by, "_block"), order))
+    following = F.expr(f"lead(_known, 1) IGNORE NULLS OVER (PARTITION BY {keys} ORDER BY {along})")
     rows = (
         blocked.withColumn("_pos", F.row_number().over(up).cast("bigint"))
         .withColumn("_known", known)
         .withColumn("_prev", F.last("_known", ignorenulls=True).over(up.rowsBetween(start, here)))
         .withColumn("_next", following)
     )
-    seen = F.when(F.col(column).isNotNull(), F.col("_pos"))
-    number = F.col(column).cast("double")
+    seen = F.when(F.col("_value").isNotNull(), F.col("_pos"))
+    number = F.col("_value")
     blocks = rows.groupBy(*by, "_block").agg(
         F.count("*").alias("_rows"),
         F.max(seen).alias("_lp"),
@@ -207,7 +216,7 @@ def interpolate(
     )
     slope = (F.col("_next.v") - F.col("_prev.v")) / (F.col("_next.p") - F.col("_prev.p"))
     filled = (
-        F.when(F.col(column).isNotNull(), number)
+        F.when(number.isNotNull(), number)
         .when(F.col("_prev").isNull(), F.lit(None))
         .when(F.col("_next").isNull(), F.col("_prev.v"))
         .otherwise(F.col("_prev.v") + slope * (F.col("_at") - F.col("_prev.p")))

@@ -8,20 +8,23 @@ from pyspark.sql import types as T
 
 from tillroll.functions.numbers import rounded, safe_div
 
-MAX_PIVOT_COLUMNS = 1000
+OTHER = "other"
 
 
-def distinct_values(df: DataFrame, column: str, limit: int = MAX_PIVOT_COLUMNS) -> list:
-    """Sorted distinct non-null values; refuses more than `limit` (they become columns)."""
-    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} distinct values")
-    return sorted(r[0] for r in rows)
+def distinct_values(df: DataFrame, column: str) -> list:
+    """Sorted distinct non-null values, which become columns."""
+    return sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().collect())
 
 
-def pivot_table(df: DataFrame, index: tuple[str, ...], column: str, value: Column, values: list | None = None, fill=None) -> DataFrame:
-    """One column per value of `column`; give `values` to avoid the job that lists them."""
-    values = distinct_values(df, column) if values is None else values
+def pivot_table(
+    df: DataFrame, index: tuple[str, ...], column: str, value: Column, values: list | None = None, fill=None, other: str | None = None
+) -> DataFrame:
+    """One column per value of `column`; give `values` to avoid the job that lists them. With `other`, values that are
+    not listed (null too) share the column of that name; without it they are left out."""
+    values = distinct_values(df, column) if values is None else list(values)
+    if other is not None:
+        df = df.withColumn(column, F.when(F.col(column).isin(values), F.col(column)).otherwise(F.lit(other)))
+        values = [*values, other]
     table = df.groupBy(*index).pivot(column, values).agg(value)
     return table if fill is None else table.fillna(fill, subset=[str(v) for v in values])
 

@@ -5,15 +5,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.constants import DAY_PARTS
-from tillroll.functions.numbers import ratio, rounded
+from tillroll.functions.numbers import present, ratio, rounded
 from tillroll.operators.joins import join_keys
 from tillroll.operators.ordered import distribution
 from tillroll.operators.receipts import KEY, TOTAL, dedup, items_per_receipt, line_count, receipts
 
 
 def null_counts(df: DataFrame) -> DataFrame:
-    """Rows of (column_name, data_type, missing), one scan for all columns."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    """Rows of (column_name, data_type, missing), one scan for all columns; null and NaN are missing."""
+    counts = df.agg(*[F.count_if(present(df, c).isNull()).alias(c) for c in df.columns])
     entries = [
         F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("data_type"), F.col(c).alias("missing"))
         for c, t in df.dtypes
@@ -48,7 +48,7 @@ def describe_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFra
     """count, mean, std, min, exact quartiles and max per numeric column."""
     columns = columns or numeric_columns(df)
     long = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns]))
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), present(df, c).cast("double").alias("v")) for c in columns]))
     )
     spread = long.groupBy("column_name").agg(
         F.count("v").alias("count"), rounded(F.avg("v"), 4).alias("mean"), rounded(F.stddev_samp("v"), 4).alias("std")

@@ -5,7 +5,7 @@ side: DISTINCT ON, windows over raw rows, quantile_cont, correlated lookups.
 """
 
 from tillroll.constants import (
-    DRINK_PRICES, DRINK_WEIGHTS, REVENUE_SEGMENTS, SERVICE_LEVELS, SKEW_NORMAL, SKEW_WARNING,
+    REVENUE_SEGMENTS, SERVICE_LEVELS, SKEW_NORMAL, SKEW_WARNING,
     STOCK_OK, STOCK_SHORTAGE, STOCK_SURPLUS, WEEKDAY_SEGMENTS, Z_BY_SERVICE_LEVEL,
 )
 
@@ -298,10 +298,13 @@ def _dashboard_queries() -> dict[str, str]:
     types = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
     cells = ", ".join(f"NULLIF(COUNT(*) FILTER (WHERE item = '{t}'), 0) AS \"{t}\"" for t in types)
     week = "CAST(date_trunc('week', d) AS DATE)"
+    named = ["ECONOMY", "LARGE", "PROMO"]
+    listed = ", ".join(f"NULLIF(COUNT(*) FILTER (WHERE item = '{t}'), 0) AS \"{t}\"" for t in named)
+    listed += ", NULLIF(COUNT(*) FILTER (WHERE item NOT IN ('ECONOMY', 'LARGE', 'PROMO')), 0) AS other"
     weekly = f"WITH {_lines()} SELECT {_day(week)} AS week_start, {cells} FROM s"
     return {
         "drinks_by_week": f"{weekly} GROUP BY 1",
-        "drinks_by_week_range": f"{weekly} WHERE d >= DATE '1998-01-05' AND d < DATE '1999-01-04' GROUP BY 1",
+        "drinks_by_week_range": f"WITH {_lines()} SELECT {_day(week)} AS week_start, {listed} FROM s WHERE d >= DATE '1998-01-05' AND d < DATE '1999-01-04' GROUP BY 1",
         "revenue_share_pie": f"""WITH {_lines('p_brand')} SELECT item AS coffee_name, {_dbl('SUM(price)')} AS revenue,
             {_ratio('SUM(price)', 'SUM(SUM(price)) OVER ()', 6)} AS contribution FROM s GROUP BY 1""",
     }
@@ -327,16 +330,19 @@ def _operation_queries() -> dict[str, str]:
     classes = list(SERVICE_LEVELS)
     return {
         "return_rate": f"WITH {_RETURNS} SELECT category, {rate} GROUP BY 1",
+        "return_rate_by_region": f"""WITH o AS (SELECT r_name AS region, CASE l_returnflag WHEN 'R' THEN 'returned' ELSE 'kept' END AS status
+            FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+            JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey) SELECT region, {rate} GROUP BY 1""",
         "return_rate_by_brand": f"WITH {_RETURNS} SELECT brand, {rate} GROUP BY 1",
         "return_rate_case": f"""WITH {_RETURNS} SELECT category, COUNT(*) AS total_orders,
             {_int("SUM(CASE WHEN status = 'returned' THEN 1 ELSE 0 END)")} AS returned_orders,
             {_pct("SUM(CASE WHEN status = 'returned' THEN 1 ELSE 0 END)", 'COUNT(*)')} AS return_rate_percent
             FROM o WHERE status IN ('returned', 'delivered', 'in_transit') GROUP BY 1""",
         "return_rate_last_month": f"WITH {_RETURNS} SELECT brand, {rate} WHERE day >= DATE '2001-10-04' GROUP BY 1",
-        "slow_assembly_top3": f"""WITH f AS (SELECT l_suppkey AS k, o_orderdate AS a, l_shipdate AS b
-                FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_shipdate >= o_orderdate),
+        "slow_assembly_top3": f"""WITH f AS (SELECT l_suppkey AS k, o_orderdate AS a, CASE WHEN l_shipdate >= o_orderdate THEN l_shipdate END AS b
+                FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
             x AS (SELECT k, COUNT(*) AS n, {_pct('COUNT(*) FILTER (WHERE epoch(b - a) / 60 > 720000)', 'COUNT(*)')} AS pct
-                FROM f WHERE a >= TIMESTAMP '2001-08-01' - INTERVAL 1500 DAY GROUP BY k HAVING COUNT(*) > 50),
+                FROM f WHERE a >= TIMESTAMP '2001-08-01' - INTERVAL 1500 DAY AND b IS NOT NULL GROUP BY k HAVING COUNT(*) > 50),
             y AS (SELECT *, DENSE_RANK() OVER (ORDER BY pct DESC) AS rnk FROM x
                 JOIN supplier ON s_suppkey = k JOIN nation ON n_nationkey = s_nationkey)
             SELECT n_name AS city_name, k AS darkstore_id, pct AS slow_pct, n AS total_orders, rnk FROM y WHERE rnk <= 3""",
@@ -407,10 +413,10 @@ def _quality_queries() -> dict[str, str]:
 
     return {
         "validate_data": nulls("events", event_columns, duplicates, True),
-        "table_shape": f"""WITH {_GAPS} SELECT COUNT(*) AS row_count, COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT user_id, kind, value FROM g)) AS duplicates,
-            3 AS column_count FROM g""",
+        "table_shape": """SELECT COUNT(*) AS row_count, COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM events)) AS duplicates,
+            6 AS column_count FROM events""",
         "null_counts": f"WITH {_GAPS} {nulls('g', gap_columns)}",
-        "describe_numeric": f"{numbers('o_orderkey', 'o_orderkey')} UNION ALL {numbers('o_totalprice', 'o_totalprice')}",
+        "describe_numeric": f"{numbers('o_orderkey', 'o_orderkey')} UNION ALL {numbers('o_custkey', 'o_custkey')} UNION ALL {numbers('o_totalprice', 'o_totalprice')}",
         "describe_categorical": f"{words('o_orderstatus')} UNION ALL {words('o_orderpriority')}",
         "value_frequencies": f"WITH {_lines('p_brand')} SELECT item AS coffee_name, COUNT(*) AS n FROM s GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10",
         "audit_unique": f"""{raw}, k AS (SELECT DISTINCT transaction_id, sale_date FROM r)
@@ -470,22 +476,14 @@ def _prep_queries() -> dict[str, str]:
     onehot = ", ".join(f"CASE WHEN p_type = '{t}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS \"p_type_{t}\"" for t in types)
     segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"]
     segment_flags = ", ".join(f"CASE WHEN seg = '{t}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS \"segment_{t}\"" for t in segments)
-    prices = ", ".join(f"('{n}', {p})" for n, p in DRINK_PRICES)
-    total = sum(n for _, n in DRINK_WEIGHTS)
-    picks, upper = [], 0
-    for name, n in DRINK_WEIGHTS[:-1]:
-        upper += n
-        picks.append(f"WHEN u < CAST({upper} AS DOUBLE) / {total} THEN '{name}'")
-    assigned = f"""h AS (SELECT o_orderkey, CAST(CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || ':7'), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296 AS u FROM orders),
-        a AS (SELECT o_orderkey, CASE {' '.join(picks)} ELSE '{DRINK_WEIGHTS[-1][0]}' END AS coffee_name FROM h)"""
     split = """d AS (SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS total FROM orders GROUP BY 1),
         w AS (SELECT day, total, part, place, total * CASE WHEN isodow(day) >= 6 THEN we ELSE wd END / 10.0 AS x
               FROM d, (VALUES ('morning', 0, 4, 2), ('afternoon', 1, 5, 6), ('evening', 2, 1, 2)) v(part, place, wd, we)),
         f AS (SELECT *, CAST(floor(x) AS BIGINT) AS base, ROW_NUMBER() OVER (PARTITION BY day ORDER BY ROUND(x - floor(x), 6) DESC, place) AS k,
               total - SUM(CAST(floor(x) AS BIGINT)) OVER (PARTITION BY day) AS rest FROM w),
         c AS (SELECT day, total, part, base + CASE WHEN k <= rest THEN 1 ELSE 0 END AS cnt FROM f)"""
+    segment = "SELECT c_custkey, CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_mktsegment END AS seg FROM customer"
     fence = "quantile_cont(CAST(value AS DECIMAL(18,2))::DOUBLE, {a}) {sign} 1.5 * (quantile_cont(CAST(value AS DECIMAL(18,2))::DOUBLE, 0.75) - quantile_cont(CAST(value AS DECIMAL(18,2))::DOUBLE, 0.25))"
-    clock = "hour(ts) * 3600 + minute(ts) * 60 + second(ts) + 1800"
     calendar = f"""WITH n AS (SELECT CAST(o_orderdate AS DATE) AS d, COUNT(*) AS n FROM orders GROUP BY 1),
         c AS (SELECT CAST(unnest(generate_series(MIN(d), MAX(d), INTERVAL 1 DAY)) AS DATE) AS d FROM n)
         SELECT {_day('d')} AS date, CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key, day(d) AS day_of_month, dayofyear(d) AS day_of_year,
@@ -505,7 +503,7 @@ def _prep_queries() -> dict[str, str]:
             ORDER BY COUNT(*) DESC, kind LIMIT 1)) AS kind FROM g""",
         "drop_missing": f"{gaps} SELECT event_id, {_dbl('value')} AS value FROM g WHERE value IS NOT NULL",
         "interpolate_per_user": interpolated("PARTITION BY user_id", "event_id", "event_id, user_id"),
-        "interpolate_series": interpolated("", "ts", "event_id"),
+        "interpolate_series": interpolated("", "ts, event_id", "event_id"),
         "remove_duplicates": "SELECT DISTINCT l_partkey, l_suppkey, l_returnflag, l_linestatus FROM lineitem",
         "winsorise": f"""WITH b AS (SELECT {fence.format(a=0.25, sign='-')} AS lo, {fence.format(a=0.75, sign='+')} AS hi FROM events)
             SELECT event_id, {_round('GREATEST(lo, LEAST(hi, CAST(value AS DECIMAL(18,2))::DOUBLE))', 4)} AS value FROM events, b""",
@@ -530,15 +528,33 @@ def _prep_queries() -> dict[str, str]:
             SELECT i AS bin, {_round('lo + (hi - lo) * i / 20', 4)} AS bin_start, {_round('lo + (hi - lo) * (i + 1) / 20', 4)} AS bin_end, COALESCE(n, 0) AS n
             FROM (SELECT unnest(range(20)) AS i), b LEFT JOIN c ON c.bin = i""",
         "order_calendar": calendar,
-        "attach_price": f"""WITH {assigned}, p AS (SELECT * FROM (VALUES {prices}) v(coffee_name, standard_price))
-            SELECT coffee_name, standard_price, COUNT(*) AS n FROM a LEFT JOIN p USING (coffee_name) GROUP BY 1, 2""",
-        "weighted_assign": f"WITH {assigned} SELECT * FROM a",
+        "attach_price": f"""SELECT p_type AS coffee_name, MAX(CASE WHEN p_type <> 'PROMO' THEN {_dbl('price')} END) AS standard_price, SUM(n)::BIGINT AS n
+            FROM (SELECT p_type, MAX(CAST(p_retailprice AS DECIMAL(18,2))) OVER (PARTITION BY p_type) AS price,
+                         (SELECT COUNT(*) FROM lineitem WHERE l_partkey = p_partkey) AS n FROM part) x GROUP BY 1 HAVING SUM(n) > 0""",
+        "price_bands": """SELECT p_partkey, name AS band FROM part JOIN (VALUES ('low', 0, 950), ('middle', 950, 1000), ('high', 1000, 1050), ('top', 1050, 1e12)) b(name, lo, hi)
+            ON CAST(p_retailprice AS DECIMAL(18,2)) >= lo AND CAST(p_retailprice AS DECIMAL(18,2)) < hi""",
+        "impute_mean_nan": f"""SELECT event_id, {_round("CASE WHEN event_type IN ('error', 'signup') THEN (SELECT AVG(value) FROM events WHERE event_type NOT IN ('error', 'signup')) ELSE value END", 4)} AS value FROM events""",
+        "drop_empty_rows": f"{gaps} SELECT kind, COUNT(*) AS n FROM g WHERE kind IS NOT NULL OR value IS NOT NULL GROUP BY 1",
+        "remove_duplicates_subset": """SELECT event_id, user_id, event_type FROM events
+            QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1""",
+        "encode_onehot_null": f"WITH x AS ({segment}) SELECT c_custkey, {segment_flags}, CASE WHEN seg IS NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS \"segment_None\" FROM x",
+        "encode_onehot_index": f"""WITH x AS ({segment}), k AS (SELECT seg, ROW_NUMBER() OVER (ORDER BY seg) - 1 AS code FROM (SELECT DISTINCT seg FROM x WHERE seg IS NOT NULL))
+            SELECT c_custkey, COALESCE(code, (SELECT COUNT(*) FROM k)) AS segment FROM x LEFT JOIN k USING (seg)""",
+        "encode_ordinal_null": f"""WITH x AS ({segment}), k AS (SELECT seg, ROW_NUMBER() OVER (ORDER BY seg) - 1 AS code FROM (SELECT DISTINCT seg FROM x WHERE seg IS NOT NULL))
+            SELECT c_custkey, code AS segment FROM x LEFT JOIN k USING (seg)""",
+        "date_dim_default": """WITH c AS (SELECT CAST(unnest(generate_series(DATE '1770-01-01', DATE '2030-12-31', INTERVAL 1 DAY)) AS DATE) AS d),
+            n AS (SELECT CAST(o_orderdate AS DATE) AS d, COUNT(*) AS n FROM orders GROUP BY 1)
+            SELECT year(d) - year(d) % 10 AS decade, COUNT(*) AS n_days, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS n_orders FROM c LEFT JOIN n USING (d) GROUP BY 1""",
+        "title_names": """SELECT p_partkey, array_to_string(list_transform(string_split(lower(p_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS title FROM part""",
+        "union_parties": f"""SELECT c_custkey AS party, {_dbl('CAST(c_acctbal AS DECIMAL(18,2))')} AS balance, 'customer' AS kind FROM customer
+            UNION ALL SELECT s_suppkey, {_dbl('CAST(s_acctbal AS DECIMAL(18,2))')}, 'supplier' FROM supplier""",
+        "limit_rows": "SELECT LEAST(100, COUNT(*)) AS n FROM orders",
+        "csv_dialect": f"""SELECT p_partkey, p_name || '; "' || p_type || '"' AS label, {_dbl('CAST(p_retailprice AS DECIMAL(18,2))')} AS price FROM part""",
+        "load_and_insert": f"SELECT event_type, {_PART} AS time_of_day, COUNT(*) AS n FROM (SELECT event_type, date_trunc('second', ts) AS ts FROM events) e GROUP BY 1, 2",
+        "null_counts_nan": """SELECT 'event_id' AS column_name, COUNT(*) - COUNT(event_id) AS missing FROM events UNION ALL SELECT 'user_id', COUNT(*) - COUNT(user_id) FROM events
+            UNION ALL SELECT 'value', COUNT(*) FILTER (WHERE event_type IN ('error', 'signup') OR value IS NULL) FROM events""",
         "split_day_orders": f"WITH {split} SELECT {_day('day')} AS date, total, part, cnt FROM c",
         "expand_day_orders": f"WITH {split} SELECT {_day('day')} AS date, part, unnest(range(1, cnt + 1)) AS seq FROM c",
-        "period_times": f"""WITH e AS (SELECT event_id, lower({_PART}) AS period, CAST({clock} AS INTEGER) AS sec FROM events),
-            k AS (SELECT event_id, period, CASE period WHEN 'morning' THEN GREATEST(28800, LEAST(43199, sec)) WHEN 'afternoon' THEN GREATEST(39600, LEAST(57599, sec))
-                  WHEN 'evening' THEN GREATEST(57600, LEAST(71999, sec)) ELSE 28800 END AS x FROM e)
-            SELECT event_id, period, strftime(TIMESTAMP '2000-01-01' + to_seconds(x), '%H:%M:%S') AS sale_time FROM k""",
         "safe_names": r"SELECT DISTINCT p_brand, trim(regexp_replace(p_brand, '[^\p{L}\p{N} _-]', '_', 'g')) AS file_name FROM part",
     }
 

@@ -6,39 +6,37 @@ from pyspark.sql import functions as F
 from tillroll.constants import WEEKDAY_SEGMENTS
 from tillroll.functions.dates import in_range, week_start
 from tillroll.functions.numbers import ratio, rounded, safe_div
-from tillroll.operators.pivots import distinct_values, percent_rank_average, pivot_table, with_row_total
+from tillroll.operators.pivots import OTHER, percent_rank_average, pivot_table, with_row_total
 from tillroll.operators.windows import moving_average, series, top_n
 from tillroll.plans.staffing import segments_by_weekday, staffing_matrix_simple
 
-ROW_LIMIT = 10_000
-PIE_LIMIT = 100
 
-
-def staffing_heatmap(lines: DataFrame, start=None, end=None) -> DataFrame:
+def staffing_heatmap(lines: DataFrame, start=None, end=None, limit: int | None = None) -> DataFrame:
     """Largest mean load per hour and weekday cell, with its fractional rank over all cells."""
     cells = staffing_matrix_simple(lines, start, end).groupBy("hour_label", "day_label").agg(
         F.max("avg_transaction_load").alias("max_load")
     )
     ranked = percent_rank_average(cells, "max_load")
-    return ranked.orderBy(F.asc("hour_label"), F.desc("day_label")).limit(ROW_LIMIT)
+    ordered = ranked.orderBy(F.asc("hour_label"), F.desc("day_label"))
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def drinks_by_week(lines: DataFrame, products: list[str] | None = None, start=None, end=None) -> DataFrame:
-    """Lines per week, one column per product; null where a product was not sold."""
+    """Lines per week, one column per product; null where a product was not sold. With a list of products, all others
+    are counted in the column `other`."""
     kept = lines.filter(in_range(F.col("sale_date"), start, end))
     weekly = kept.withColumn("week_start", week_start(F.col("sale_date")))
-    values = distinct_values(kept, "coffee_name") if products is None else products
-    return pivot_table(weekly, ("week_start",), "coffee_name", F.count(F.lit(1)), values).orderBy("week_start")
+    other = None if products is None else OTHER
+    return pivot_table(weekly, ("week_start",), "coffee_name", F.count(F.lit(1)), products, other=other).orderBy("week_start")
 
 
-def revenue_share_pie(lines: DataFrame, start=None, end=None) -> DataFrame:
-    """Revenue per product, best first, with its part of the listed total."""
+def revenue_share_pie(lines: DataFrame, start=None, end=None, limit: int | None = None) -> DataFrame:
+    """Revenue per product, best first, with its part of the whole revenue; `limit` keeps the best products."""
     kept = lines.filter(in_range(F.col("sale_date"), start, end))
-    listed = top_n(
-        kept.groupBy("coffee_name").agg(F.sum("drink_price").alias("revenue")),
-        PIE_LIMIT, F.desc("revenue"), F.asc("coffee_name"),
-    )
-    total = listed.agg(F.sum("revenue")).scalar()
+    revenue = kept.groupBy("coffee_name").agg(F.sum("drink_price").alias("revenue"))
+    total = revenue.agg(F.sum("revenue")).scalar()
+    best = F.desc("revenue"), F.asc("coffee_name")
+    listed = revenue.orderBy(*best) if limit is None else top_n(revenue, limit, *best)
     return listed.withColumn("contribution", rounded(safe_div(F.col("revenue"), total), 6))
 
 

@@ -13,7 +13,6 @@ from tillroll.functions.numbers import percent, ratio, rounded
 from tillroll.operators.joins import join_keys
 from tillroll.operators.ordered import distribution
 from tillroll.operators.pivots import with_categories
-from tillroll.operators.quality import order_sizes
 from tillroll.operators.receipts import KEY, TOTAL, consistent_receipts, dedup, items_per_receipt, receipts
 from tillroll.operators.windows import kth_largest, top_n
 
@@ -214,7 +213,3 @@ def check_skew_note(lines: DataFrame, flag: float = 0.5) -> DataFrame:
         .otherwise(SKEW_NORMAL)
         .alias("data_quality_note"),
     )
-
-
-def order_size_stats(lines: DataFrame) -> DataFrame:
-    return order_sizes(lines)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.constants import DAY_PARTS, DRINK_WEIGHTS, WEEKDAY_SHARES, WEEKEND_SHARES, WEEKDAY_SEGMENTS
+from tillroll.constants import DAY_PARTS, WEEKDAY_SHARES, WEEKEND_SHARES, WEEKDAY_SEGMENTS
 from tillroll.functions import dates as D
 from tillroll.functions import labels as L
 from tillroll.functions.numbers import MONEY, rounded
@@ -23,7 +23,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHIP_AS_OF = "2001-11-04"
 ORDER_AS_OF = "2001-08-01"
 EVENT_START, EVENT_END = "2024-01-01", "2024-01-31"
-PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+# Products with a column of their own in the weekly range; all others share one.
+LISTED_TYPES = ["ECONOMY", "LARGE", "PROMO"]
+# Price bands as (name, upper bound); the last is open.
+PRICE_BANDS = [("low", 950), ("middle", 1000), ("high", 1050), ("top", None)]
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -189,7 +192,7 @@ def _interpolate(spark, folder):
 
 
 def _interpolate_series(spark, folder):
-    filled = prep.handle_missing(_gaps(spark, folder), "interpolate", ["value"], order="ts")
+    filled = prep.handle_missing(_gaps(spark, folder), "interpolate", ["value"], order=("ts", "event_id"))
     return filled.select("event_id", rounded(F.col("value"), 4).alias("value"))
 
 
@@ -256,15 +259,110 @@ def _order_calendar(spark, folder):
     return calendar.calendar_for(orders, "date").join(days, "date", "left").fillna(0, ["n_orders"])
 
 
-def _assigned(spark, folder) -> DataFrame:
-    orders = views.table(spark, folder, "orders")
-    pick = allocate.weighted_pick(allocate.unit_hash(F.col("o_orderkey"), seed=7), DRINK_WEIGHTS)
-    return orders.select("o_orderkey", pick.alias("coffee_name"))
+def _priced(spark, folder):
+    """Lines per product type with its list price; promotional goods have none."""
+    part = views.table(spark, folder, "part")
+    prices = part.filter(F.col("p_type") != "PROMO").groupBy(F.col("p_type").alias("coffee_name")).agg(
+        F.max(F.col("p_retailprice").cast(MONEY)).alias("standard_price")
+    )
+    sold = views.product_lines(spark, folder, "p_type").groupBy("coffee_name").agg(F.count("*").alias("n"))
+    return tables.attach_price(sold, prices)
+
+
+def _price_bands(spark, folder):
+    price = F.col("p_retailprice").cast(MONEY)
+    return views.table(spark, folder, "part").select("p_partkey", allocate.interval_lookup(price, PRICE_BANDS).alias("band"))
+
+
+def _csv_dialect(spark, folder):
+    """Parts written with a separator that their names contain, and read back."""
+    path = f"{shared_dir(spark)}/dialect-{uuid.uuid4().hex}"
+    name = F.concat("p_name", F.lit('; "'), "p_type", F.lit('"'))
+    parts = views.table(spark, folder, "part").select("p_partkey", name.alias("label"), F.col("p_retailprice").cast(MONEY).alias("price"))
+    files.write_csv(parts, path, sep=";")
+    schema = T.StructType([T.StructField("p_partkey", T.LongType()), T.StructField("label", T.StringType()), T.StructField("price", T.DecimalType(18, 2))])
+    return files.read_csv(spark, path, schema, sep=";")
+
+
+def _load_and_insert(spark, folder):
+    """Created table, loaded from a file, with rows inserted from a query, a derived column and a comment."""
+    name, path = f"sales_{uuid.uuid4().hex}", f"{shared_dir(spark)}/load-{uuid.uuid4().hex}"
+    events = views.table(spark, folder, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("datetime"), "event_type")
+    schema = T.StructType([
+        T.StructField("event_id", T.LongType()), T.StructField("datetime", T.TimestampNTZType()), T.StructField("event_type", T.StringType())
+    ])
+    tables.create_table(spark, name, schema)
+    seconds = events.withColumn("datetime", F.date_trunc("second", "datetime").cast("timestamp_ntz"))
+    files.write_csv(seconds.filter(F.col("event_type") == "error"), path)
+    tables.load_csv_into(spark, path, name, schema)
+    tables.insert_into(seconds.filter(F.col("event_type") != "error"), name)
+    stored = calendar.with_comments(tables.add_time_of_day(spark.table(name)), {"datetime": "Time of the event"})
+    return stored.groupBy("event_type", "time_of_day").agg(F.count("*").alias("n"))
+
+
+def _nan_events(spark, folder):
+    """Events whose value is not a number for errors and null for sign-ups."""
+    kind = F.col("event_type")
+    value = F.when(kind == "error", float("nan")).when(kind != "signup", F.col("value").cast("double"))
+    return views.table(spark, folder, "events").select("event_id", "user_id", value.alias("value"))
+
+
+def _impute_nan(spark, folder):
+    filled = prep.handle_missing(_nan_events(spark, folder), "mean", ["value"])
+    return filled.select("event_id", rounded(F.col("value"), 4).alias("value"))
 
 
-def _priced(spark, folder):
-    priced = tables.attach_price(_assigned(spark, folder), tables.drink_price_ref(spark))
-    return priced.groupBy("coffee_name", "standard_price").agg(F.count("*").alias("n"))
+def _empty_rows(spark, folder):
+    gaps = _gaps(spark, folder).select("kind", "value")
+    return prep.drop_empty_rows(gaps).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+def _first_rows(spark, folder):
+    """The first event of each user and kind."""
+    events = views.table(spark, folder, "events").select("event_id", "user_id", "event_type", "ts")
+    return prep.remove_duplicates(events, ["user_id", "event_type"], order=("ts", "event_id")).drop("ts")
+
+
+def _segments(spark, folder):
+    segment = F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_mktsegment"))
+    return views.table(spark, folder, "customer").select("c_custkey", segment.alias("segment"))
+
+
+def _onehot_null(spark, folder):
+    return prep.encode_categorical(_segments(spark, folder), ["segment"], "onehot")
+
+
+def _onehot_index(spark, folder):
+    return prep.encode_categorical(_segments(spark, folder), ["segment"], "onehot_index")
+
+
+def _ordinal_null(spark, folder):
+    return prep.encode_categorical(_segments(spark, folder), ["segment"], "ordinal")
+
+
+def _date_dim(spark, folder):
+    """Days and orders per decade of the default calendar."""
+    days = calendar.date_dim(spark).select("date", "decade")
+    orders = views.table(spark, folder, "orders").groupBy(F.col("o_orderdate").cast("date").alias("date")).agg(F.count("*").alias("n"))
+    return days.join(orders, "date", "left").groupBy("decade").agg(
+        F.count("*").alias("n_days"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_orders")
+    )
+
+
+def _title_names(spark, folder):
+    return views.table(spark, folder, "part").select("p_partkey", L.title_case(F.col("p_name")).alias("title"))
+
+
+def _union_parties(spark, folder):
+    """Customers and suppliers in one list of parties, by column name."""
+    customers = views.table(spark, folder, "customer").select(F.col("c_custkey").alias("party"), F.col("c_acctbal").cast(MONEY).alias("balance"))
+    suppliers = views.table(spark, folder, "supplier").select(F.col("s_acctbal").cast(MONEY).alias("balance"), F.col("s_suppkey").alias("party"))
+    return tables.union_all(customers.withColumn("kind", F.lit("customer")), suppliers.withColumn("kind", F.lit("supplier")))
+
+
+def _limit_rows(spark, folder):
+    """How many rows a plain limit gives; which ones is open."""
+    return views.table(spark, folder, "orders").limit(100).agg(F.count("*").alias("n"))
 
 
 def _day_split(spark, folder) -> DataFrame:
@@ -280,13 +378,6 @@ def _day_expanded(spark, folder):
     return allocate.expand_by_count(_day_split(spark, folder).drop("total"), "cnt").drop("cnt")
 
 
-def _period_times(spark, folder):
-    ts = F.col("ts")
-    period = F.lower(L.time_of_day(ts))
-    second = L.period_second((D.second_of_day(ts) + 1800), period)
-    return views.table(spark, folder, "events").select("event_id", period.alias("period"), D.clock_text(second).alias("sale_time"))
-
-
 def _safe_names(spark, folder):
     brands = views.table(spark, folder, "part").select("p_brand").distinct()
     return brands.select("p_brand", L.safe_name(F.col("p_brand")).alias("file_name"))
@@ -302,12 +393,12 @@ def _sql_totals(spark, folder):
 
 def _value_range(spark, folder):
     sold = views.sales_lines(spark, folder, "p_type")
-    return dashboards.drinks_by_week(sold, PART_TYPES, start="1998-01-05", end="1999-01-04")
+    return dashboards.drinks_by_week(sold, LISTED_TYPES, start="1998-01-05", end="1999-01-04")
 
 
 def _describe_numeric(spark, folder):
-    orders = views.table(spark, folder, "orders").select("o_orderkey", F.col("o_totalprice").cast(MONEY).alias("o_totalprice"))
-    return quality.describe_numeric(orders)
+    orders = views.table(spark, folder, "orders")
+    return quality.describe_numeric(orders.withColumn("o_totalprice", F.col("o_totalprice").cast(MONEY)))
 
 
 def _queries() -> dict[str, Query]:
@@ -368,6 +459,7 @@ def _queries() -> dict[str, Query]:
         "revenue_heatmap": _on_event_receipts(staffing.revenue_heatmap),
         # operations and inventory
         "return_rate": _returns(operations.return_rate),
+        "return_rate_by_region": lambda spark, folder: operations.return_rate(views.return_orders_by_region(spark, folder), by="region"),
         "return_rate_by_brand": _returns(operations.return_rate, by="brand"),
         "return_rate_case": _returns(operations.return_rate_case),
         "return_rate_last_month": _returns(operations.return_rate_case, by="brand", last_month=True, as_of=SHIP_AS_OF),
@@ -375,6 +467,8 @@ def _queries() -> dict[str, Query]:
         "inventory_gap": _inventory_gap,
         "falling_demand": _falling_demand,
         "falling_demand_csv": _falling_demand_csv,
+        "csv_dialect": _csv_dialect,
+        "load_and_insert": _load_and_insert,
         "sales_enriched": _sales_enriched,
         "reorder_point": _on_sales(inventory.reorder_point),
         "reorder_signal": _reorder_signal,
@@ -382,7 +476,7 @@ def _queries() -> dict[str, Query]:
         "cohort_ltv_margin": _cohorts,
         # dashboards
         "staffing_heatmap": _on_event_receipts(dashboards.staffing_heatmap, start=EVENT_START, end=EVENT_END),
-        "drinks_by_week": _on_lines(dashboards.drinks_by_week, "p_type", products=PART_TYPES),
+        "drinks_by_week": _on_lines(dashboards.drinks_by_week, "p_type"),
         "drinks_by_week_range": _value_range,
         "revenue_share_pie": _on_drinks(dashboards.revenue_share_pie, "p_brand"),
         "rolling_line_revenue": _on_events(dashboards.rolling_line_revenue),
@@ -391,7 +485,7 @@ def _queries() -> dict[str, Query]:
         "dataset_row_count": _on_events(dashboards.row_count),
         # profiles and audits
         "validate_data": _on_table(quality.validate, "events"),
-        "table_shape": lambda spark, folder: quality.row_counts(_gaps(spark, folder).select("user_id", "kind", "value")),
+        "table_shape": _on_table(quality.row_counts, "events"),
         "null_counts": lambda spark, folder: quality.null_counts(_gaps(spark, folder)).drop("data_type"),
         "describe_numeric": _describe_numeric,
         "describe_categorical": _on_table(quality.describe_categorical, "orders"),
@@ -405,7 +499,7 @@ def _queries() -> dict[str, Query]:
         "audit_revenue_totals": _on_receipts(quality.audit_totals),
         "inconsistent_receipts": _on_raw(quality.inconsistent_receipts),
         "receipt_box": _on_event_receipts(quality.receipt_box),
-        "order_size_stats": _on_receipts(sales.order_size_stats),
+        "order_size_stats": _on_receipts(quality.order_sizes),
         "outside_hours": _on_events(quality.outside_hours),
         "constraint_checks": _constraints,
         "dedup_distinct": _on_raw(dedup, how="distinct"),
@@ -417,29 +511,39 @@ def _queries() -> dict[str, Query]:
         # preparation
         "impute_mean": _impute("mean"),
         "impute_median": _impute("median"),
+        "impute_mean_nan": _impute_nan,
+        "null_counts_nan": lambda spark, folder: quality.null_counts(_nan_events(spark, folder)).drop("data_type"),
+        "drop_empty_rows": _empty_rows,
         "impute_most_frequent": _impute("most_frequent", "kind"),
         "drop_missing": _impute("drop"),
         "interpolate_per_user": _interpolate,
         "interpolate_series": _interpolate_series,
         "remove_duplicates": _distinct_rows,
+        "remove_duplicates_subset": _first_rows,
         "winsorise": _winsorise,
         "encode_onehot": _onehot,
         "encode_ordinal": _ordinal,
         "encode_ordinal_unseen": _ordinal_unseen,
+        "encode_onehot_null": _onehot_null,
+        "encode_onehot_index": _onehot_index,
+        "encode_ordinal_null": _ordinal_null,
         "standard_scale": _scaled,
         "preprocess_pipeline": _preprocess,
         "derive_time_columns": _time_columns,
         "line_fit": _line_fit,
         "price_histogram": _price_histogram,
         "order_calendar": _order_calendar,
+        "date_dim_default": _date_dim,
         "attach_price": _priced,
+        "price_bands": _price_bands,
         "safe_names": _safe_names,
+        "title_names": _title_names,
+        "union_parties": _union_parties,
+        "limit_rows": _limit_rows,
         "sql_text_query": _sql_totals,
         # allocation
         "split_day_orders": _day_split,
         "expand_day_orders": _day_expanded,
-        "weighted_assign": _assigned,
-        "period_times": _period_times,
     }
 
 

@@ -23,5 +23,12 @@ def get_session(app: str = "tillroll", master: str | None = None, **conf: str) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for written intermediates: the cluster's own setting, else a local one for tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tillroll-")
+    """Folder for written intermediates: the cluster's own setting. Only a local session without one gets a folder of
+    its own; elsewhere that is an error, since executors do not share local disks."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tillroll-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")

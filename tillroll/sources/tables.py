@@ -6,7 +6,6 @@ from pyspark.sql import types as T
 
 from tillroll.constants import DRINK_PRICES, DRINK_WEIGHTS
 from tillroll.functions.labels import time_of_day
-from tillroll.operators.calendar import with_comments
 from tillroll.operators.pivots import literal_table
 from tillroll.sources.files import read_csv
 from tillroll.sources.schemas import DIM_COFFEE, DRINK_PRICE_REF
@@ -81,5 +80,8 @@ def add_time_of_day(lines: DataFrame) -> DataFrame:
     return lines.withColumn("time_of_day", time_of_day(F.col("datetime")))
 
 
-def comment_columns(df: DataFrame, comments: dict[str, str]) -> DataFrame:
-    return with_comments(df, comments)
+def union_all(first: DataFrame, *more: DataFrame) -> DataFrame:
+    """Rows of all frames, columns matched by name; a column that a frame lacks is null there."""
+    for other in more:
+        first = first.unionByName(other, allowMissingColumns=True)
+    return first

@@ -165,15 +165,32 @@ def return_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def return_orders_by_region(spark: SparkSession, folder: str) -> DataFrame:
+    """The same orders with the region of the customer."""
+    lines, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
+    customer, nation, region = (table(spark, folder, n) for n in ("customer", "nation", "region"))
+    places = customer.join(nation, customer.c_nationkey == nation.n_nationkey).join(region, nation.n_regionkey == region.r_regionkey)
+    status = F.when(F.col("l_returnflag") == "R", "returned").when(F.col("l_returnflag") == "A", "delivered")
+    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(places, orders.o_custkey == places.c_custkey)
+    return joined.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("r_name").alias("region"),
+        status.otherwise("in_transit").alias("status"),
+        F.col("l_shipdate").cast("date").alias("order_date"),
+    )
+
+
 def fulfilment(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem")
     orders = table(spark, folder, "orders")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-    return joined.filter(F.col("l_shipdate") >= F.col("o_orderdate")).select(
+    # a line that left before its order was made was not assembled
+    assembled = F.when(F.col("l_shipdate") >= F.col("o_orderdate"), F.col("l_shipdate"))
+    return joined.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_suppkey").alias("darkstore_id"),
         F.col("o_orderdate").alias("created_at"),
-        F.col("l_shipdate").alias("assembled_at"),
+        assembled.alias("assembled_at"),
     )
 
 
