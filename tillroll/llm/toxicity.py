@@ -19,7 +19,7 @@ from tillroll.llm.hashing import RUN_BYTES, mix
 from tillroll.llm.workspace import map_arrow
 
 #: Hashed n-gram vectors, their size, the n-gram lengths, words per span.
-BUCKET_BITS, DIM, GRAMS, SPAN = 18, 8, (3, 4, 5), 1
+BUCKET_BITS, DIM, GRAMS, SPAN = 18, 8, (2, 3, 4, 5), 1
 #: Labelled documents of each class that the model is fitted on, and its passes over them.
 PER_CLASS, MEAN_PASSES, BEST_PASSES = 3000, 12, 50
 #: Distinct words whose scores a worker keeps.
