@@ -28,7 +28,7 @@ def odd_texts(n=1500, seed=1):
 
 @pytest.fixture(scope="module")
 def folder_labels(spark, folder):
-    read = lambda name: spark.read.parquet(f"{folder.replace('0.001', '0.01')}/{name}.parquet")
+    read = lambda name: spark.read.parquet(f"{folder.replace('0.001', '0.1')}/{name}.parquet")
     return read("documents"), read("labels")
 
 
@@ -214,7 +214,7 @@ def checksum(i):
 
 
 @pytest.mark.parametrize(("score", "column", "modulus", "remainder", "least"), [
-    (toxicity.toxicity_scores, "toxic", 5, 0, 0.9), (quality.quality_scores, "quality", 4, 2, 0.95),
+    (toxicity.toxicity_scores, "toxic", 5, 0, 0.95), (quality.quality_scores, "quality", 4, 2, 0.98),
 ])
 def test_models_on_held_out_labels(spark, folder_labels, score, column, modulus, remainder, least):
     documents, labels = folder_labels

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Code points per leaf, paragraphs per section.
-LEAF, SECTION = 24, 8
+LEAF, SECTION = 16, 8
 #: Ranges of ids in which rows look up their next: ranges times ranges, and the documents meant to be in one.
 FAN, RANGE_ROWS = 64, 1000
 
@@ -39,10 +39,13 @@ def fingerprint(nodes: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Twice the common leaves by the leaves of both, over the distinct leaves of two trees; two empty trees are alike."""
-    a, b = F.array_distinct(a), F.array_distinct(b)
-    total = F.size(a) + F.size(b)
-    return F.when(total == 0, 1.0).otherwise(2.0 * F.size(F.array_intersect(a, b)) / F.greatest(total, F.lit(1)))
+    """Twice the common leaves by the leaves of both: of the distinct leaves wherever they stand, or of all leaves in
+    equal places, whichever is more. Two empty trees are alike."""
+    x, y = F.array_distinct(a), F.array_distinct(b)
+    shared = 2.0 * F.size(F.array_intersect(x, y)) / F.greatest(F.size(x) + F.size(y), F.lit(1))
+    same = F.size(F.filter(F.zip_with(a, b, lambda p, q: p.eqNullSafe(q)), lambda e: e))
+    placed = 2.0 * same / F.greatest(F.size(a) + F.size(b), F.lit(1))
+    return F.when(F.size(a) + F.size(b) == 0, 1.0).otherwise(F.greatest(shared, placed))
 
 
 def differing_paragraphs(a: Column, b: Column) -> Column:

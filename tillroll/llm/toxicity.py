@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.hashing import RUN_BYTES, mix
@@ -132,10 +132,12 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 5) -> np.ndarray:
 
 
 def calibrate(margins: np.ndarray, labels: np.ndarray, ridge: float = 1.0) -> tuple[float, float]:
-    """(slope, bias) of a logistic curve through margins of documents that were not trained on, classes weighing the same."""
+    """(slope, bias) of a logistic curve through margins of documents that were not trained on. A class weighs as the
+    root of its count, between its share and an equal part."""
     centre, spread = margins.mean(), margins.std() or 1.0
     x = np.stack([(margins - centre) / spread, np.ones(len(margins))], axis=1)
-    share = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum())) * len(labels)
+    share = np.where(labels == 1, 1 / np.sqrt(max(1, labels.sum())), 1 / np.sqrt(max(1, (1 - labels).sum())))
+    share *= len(labels) / share.sum()
     theta = np.array([1.0, 0.0])
     for _ in range(50):
         chance = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
@@ -183,11 +185,14 @@ class _Scorer(dict):
 
 def sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int, id_col: str, text_col: str) -> tuple[list, np.ndarray]:
     """Texts and labels of at most `per_class` labelled documents of each class, by a hash of the id."""
-    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna().dropDuplicates(["id"])
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
+    known = known.groupBy("id").agg(F.max("label").alias("label"))
     order = F.xxhash64(F.col("id"))
     picked = [known.filter(F.col("label") == c).orderBy(order, "id").limit(per_class) for c in (0, 1)]
     chosen = F.broadcast(picked[0].unionAll(picked[1]))  # at most 2 * per_class ids
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).dropDuplicates(["id"]).join(chosen, "id")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
+    first = Window.partitionBy("id").orderBy("text")
+    rows = rows.withColumn("k", F.row_number().over(first)).filter("k = 1").drop("k")
     rows = rows.orderBy("id").collect()
     return [r["text"] or "" for r in rows], np.array([r["label"] for r in rows], dtype=float)
 
@@ -199,7 +204,7 @@ def toxicity_scores(
     """One row per row of `docs`: (id_col, score, predicted): the chance of label 1 and whether it reaches `threshold`.
 
     `labels` has (id_col, label_col) of the rows that may be learned from; rows with a null in either are left out, as
-    are ids that `docs` lacks. Of each id that has several texts or labels one is used. Null and empty texts score like
+    are ids that `docs` lacks. Of an id's several texts the first is used, of its labels the largest. Null and empty texts score like
     a word without letters. Whole texts are scored, whatever their length. Repeated rows get the same score, an empty
     table gives no rows. Without labels of both classes the score is constant. Other columns are not read.
     """
