@@ -77,6 +77,12 @@ def with_value_block(df: DataFrame, name: str) -> DataFrame:
     return placed.withColumn("_block", block.cast("bigint")).drop("_number", "_cuts", "_top")
 
 
+def _join_blocks(rows: DataFrame, blocks: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Block values back to their rows. Blocks bound the skew, so without groups (whose keys may be null) a plain join
+    reuses the partitioning by block that the windows need."""
+    return join_keys(rows, blocks, (*by, "_block")) if by else rows.join(blocks, "_block")
+
+
 def running_total(
     df: DataFrame, order: str, weight: str, by: tuple[str, ...] = (), descending: bool = False
 ) -> DataFrame:
@@ -96,7 +102,7 @@ def running_total(
     )
     inside = Window.partitionBy(*by, "_block").orderBy(value_key).rowsBetween(Window.unboundedPreceding, 0)
     steps = (
-        join_keys(steps, blocks, (*by, "_block"))
+        _join_blocks(steps, blocks, by)
         .withColumn("running", F.col("_before") + F.sum("_step").over(inside))
         .select(*by, order, "running", "grand_total")
     )
@@ -137,7 +143,7 @@ def distribution(
     hits = blocks.filter(wanted).select(*by, "_block", "_before", "_count", "_total", "_least", "_most")
     inside = Window.partitionBy(*by, "_block").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        join_keys(counts, hits, (*by, "_block"))
+        _join_blocks(counts, hits, by)
         .withColumn("_end", F.col("_before") + F.sum("_n").over(inside))
         .withColumn("_start", F.col("_end") - F.col("_n"))
     )
@@ -209,7 +215,7 @@ def interpolate(df: DataFrame, column: str, order: str | tuple[str, ...], by: tu
         F.struct((F.col("_offset") + F.col(f"{side}.p")).alias("p"), F.col(f"{side}.v").alias("v")),
     )
     whole = (
-        join_keys(rows, blocks, (*by, "_block"))
+        _join_blocks(rows, blocks, by)
         .withColumn("_at", F.col("_offset") + F.col("_pos"))
         .withColumn("_prev", F.coalesce(moved("_prev"), F.col("_carry_prev")))
         .withColumn("_next", F.coalesce(moved("_next"), F.col("_carry_next")))

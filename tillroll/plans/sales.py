@@ -108,11 +108,9 @@ def payment_mix(lines: DataFrame) -> DataFrame:
 
 
 def basket_size(lines: DataFrame) -> DataFrame:
-    """Orders by number of lines: average, median, shares and cumulative percent."""
-    tx = items_per_receipt(lines)
-    sizes = distribution(tx, TOTAL, {"median_check": 0.5}, by=("n_items",), digits=2)
-    counts = tx.groupBy("n_items").agg(F.count("*").alias("order_count"), F.sum(TOTAL).alias("_sum"))
-    table = counts.join(sizes.select("n_items", "median_check"), "n_items", "left")
+    """Orders by number of lines: average, median, shares and cumulative percent. Orders without a total are left out."""
+    sizes = distribution(items_per_receipt(lines), TOTAL, {"median_check": 0.5}, by=("n_items",), digits=2)
+    table = sizes.withColumnsRenamed({"n": "order_count", "total": "_sum"})
     whole = Window.partitionBy()
     upto = Window.orderBy("n_items")
     return table.select(
