@@ -21,7 +21,9 @@ from tillroll.llm.workspace import map_arrow
 #: Hashed n-gram vectors, their size, the n-gram lengths, words per span.
 BUCKET_BITS, DIM, GRAMS, SPAN = 18, 8, (2, 3, 4, 5), 1
 #: Labelled documents of each class that the model is fitted on, and its passes over them.
-PER_CLASS, MEAN_PASSES, BEST_PASSES = 3000, 12, 50
+PER_CLASS, MEAN_PASSES, BEST_PASSES = 2000, 12, 50
+#: Words whose n-grams are summed at a time in the fit.
+PART = 16_384
 #: Distinct words whose scores a worker keeps.
 KNOWN = 400_000
 
@@ -90,13 +92,18 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 5) -> np.ndarray:
     """
     ids: dict[str, int] = {}
     per = [np.unique([ids.setdefault(w, len(ids)) for w in text_words(t)] or [ids.setdefault("", len(ids))]) for t in texts]
-    flat = np.concatenate(per)
-    begin = np.concatenate([[0], np.cumsum([len(p) for p in per])])[:-1]
+    del texts
+    flat = np.concatenate(per).astype(np.int32)
     size = np.array([len(p) for p in per])
-    rows = np.repeat(np.arange(len(per)), size)
-    buckets, starts = word_grams(list(ids))
-    grams = np.diff(np.append(starts, len(buckets)))
-    word_of = np.repeat(np.arange(len(ids)), grams)
+    begin = np.concatenate([[0], np.cumsum(size)])[:-1]
+    rows = np.repeat(np.arange(len(per), dtype=np.int32), size)
+    # n-grams and all sums over them in parts of words, which bounds the memory next to the buckets themselves
+    words, parts = list(ids), []
+    for at in range(0, len(words), PART):
+        parts.append((at, *word_grams(words[at : at + PART])))
+    grams = np.concatenate([np.diff(np.append(starts, len(buckets))) for _, buckets, starts in parts])
+    n_words = len(words)
+    del per, ids, words
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.05, (1 << BUCKET_BITS, DIM))
     layer = np.stack([-np.ones(DIM), np.ones(DIM)]) / np.sqrt(DIM)  # softmax weights of the two classes
@@ -105,7 +112,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 5) -> np.ndarray:
     share = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (1 - labels).sum()) * len(labels)
     for k in range(MEAN_PASSES + BEST_PASSES):
         toward = layer[1] - layer[0]
-        scores = np.add.reduceat((vectors @ toward)[buckets], starts) / grams
+        weights = vectors @ toward
+        scores = np.concatenate([np.add.reduceat(weights[buckets], starts) for _, buckets, starts in parts]) / grams
         if k < MEAN_PASSES:
             document = np.add.reduceat(scores[flat], begin) / size
         else:
@@ -113,12 +121,22 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 5) -> np.ndarray:
         chance = 1 / (1 + np.exp(-np.clip(document + bias, -30, 30)))
         error = (chance - labels) * share
         if k < MEAN_PASSES:
-            per_word = np.bincount(flat, weights=(error / size)[rows], minlength=len(ids))
+            per_word = np.bincount(flat, weights=(error / size)[rows], minlength=n_words)
         else:
             best = np.flatnonzero(scores[flat] == document[rows])
             best = best[np.unique(rows[best], return_index=True)[1]]
-            per_word = np.bincount(flat[best], weights=error, minlength=len(ids))
-        slope = np.bincount(buckets, weights=(per_word / grams)[word_of], minlength=1 << BUCKET_BITS)
+            per_word = np.bincount(flat[best], weights=error, minlength=n_words)
+        per_word /= grams
+        slope = np.zeros(1 << BUCKET_BITS)
+        for at, buckets, starts in parts:
+            own = slice(at, at + len(starts))
+            if k >= MEAN_PASSES:  # few words are a document's most toxic one
+                moving = np.flatnonzero(per_word[own])
+                for w in moving:
+                    to = starts[w + 1] if w + 1 < len(starts) else len(buckets)
+                    np.add.at(slope, buckets[starts[w] : to], per_word[at + w])
+            else:
+                slope += np.bincount(buckets, weights=np.repeat(per_word[own], grams[own]), minlength=len(slope))
         moved = np.flatnonzero(slope)
         seen[moved] += slope[moved] ** 2
         step = 0.5 * slope[moved] / np.sqrt(seen[moved])
