@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.workspace import map_arrow
 
 #: Encoded pre-tokens that a worker keeps, and the longest it keeps.
-KNOWN, LONGEST = 400_000, 64
+KNOWN, LONGEST = 150_000, 64
 
 # White space and the pre-token pattern of the byte-level scheme.
 _WHITE = r"\t-\r \x85\xa0  -     　"

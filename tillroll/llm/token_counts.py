@@ -20,7 +20,7 @@ from tillroll.llm.workspace import map_arrow
 
 MARK = "▁"
 #: Distinct pre-tokens whose counts a worker keeps between runs of documents, and the longest it keeps.
-KNOWN, LONGEST = 400_000, 64
+KNOWN, LONGEST = 150_000, 64
 
 _RUNS = re.compile(r" ( *[^ ]*)")
 _models: dict[str, tuple] = {}
@@ -60,7 +60,7 @@ def _count_new(model, known: dict[str, int], new: list[str]) -> dict[str, int]:
 def _batch_counts(texts: pa.Array, path: str) -> list[int]:
     model, known = _model(path)
     out: list[int] = []
-    values, waiting, held = texts.to_pylist(), [], 0
+    waiting, held = [], 0
 
     def flush():
         distinct = set().union(*waiting)
@@ -71,9 +71,10 @@ def _batch_counts(texts: pa.Array, path: str) -> list[int]:
         out.extend(sum(counts[x] * f for x, f in document.items()) for document in waiting)
         waiting.clear()
 
-    for text in values:
-        waiting.append(Counter(pre_tokens(text or "")))
-        held += len(text or "")
+    for text in texts:
+        text = text.as_py() or ""
+        waiting.append(Counter(pre_tokens(text)))
+        held += len(text)
         if held > RUN_BYTES:
             flush()
             held = 0

@@ -24,8 +24,9 @@ BUCKET_BITS, DIM, GRAMS, SPAN = 18, 8, (2, 3, 4, 5), 1
 PER_CLASS, MEAN_PASSES, BEST_PASSES = 2000, 12, 50
 #: Words whose n-grams are summed at a time in the fit.
 PART = 16_384
-#: Distinct words whose scores a worker keeps.
-KNOWN = 400_000
+#: Rows scored at a time, and distinct words whose scores a worker keeps.
+ROWS = 1024
+KNOWN = 150_000
 
 _EDGES = " \t\n\r.,;:!?\"'()[]{}<>|*#$%&/\\-_=+~^`…–—„“”«»¿¡"
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -232,7 +233,7 @@ def toxicity_scores(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = model.value
         scorer = _Scorer(weights, bias)
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             out, waiting, held = [], [], 0
 
             def flush():
@@ -240,10 +241,11 @@ def toxicity_scores(
                 out.extend(_spans(np.fromiter(map(scorer.__getitem__, w), float, len(w))).max() for w in waiting)
                 waiting.clear()
 
-            for text in batch.column(1).to_pylist():
-                words = text_words(text or "") or [""]
+            for text in batch.column(1):
+                text = text.as_py() or ""
+                words = text_words(text) or [""]
                 waiting.append(words if SPAN > 1 else set(words))
-                held += len(text or "")
+                held += len(text)
                 if held > RUN_BYTES:
                     flush()
                     held = 0
