@@ -2,10 +2,12 @@
 
 Values are cut into blocks by boundaries that follow the data, each block is ordered on its
 own, and what comes before a block is a running sum over the short list of blocks. The
-boundaries are computed once per query and kept by the driver, so a retried task or a
-second scan puts every row in the same block.
+boundaries (at most FAN * FAN numbers) are found by a job that runs when the query is
+built and are literals of the plan, so a retried task or a second scan puts every row in
+the same block.
 """
 
+import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,48 +35,40 @@ def as_number(df: DataFrame, name: str) -> Column:
     raise TypeError(f"{name} has no numeric order")
 
 
-def _text_number(col: Column, skip: Column) -> Column:
+def _text_number(col: Column, skip: int) -> Column:
     """Increasing number for texts that agree in their first `skip` bytes: the next seven bytes."""
-    head = F.substring(F.encode(col, "UTF-8"), skip + 1, F.lit(7))
+    head = F.substring(F.encode(col, "UTF-8"), skip + 1, 7)
     return F.conv(F.rpad(F.hex(head), 14, "0"), 16, 10).cast("bigint")
 
 
-def _common_bytes(df: DataFrame, name: str) -> Column:
-    """Scalar: how many leading bytes the least and the greatest text share, and so all between them."""
-    ends = df.agg(F.min(name).alias("a"), F.max(name).alias("b"))
-    a, b = F.hex(F.encode("a", "UTF-8")), F.hex(F.encode("b", "UTF-8"))
-    most = F.least(F.length(a), F.length(b)) / 2
-    same = F.filter(F.sequence(F.lit(0), most.cast("int")), lambda k: F.substr(a, F.lit(1), k * 2) == F.substr(b, F.lit(1), k * 2))
-    return ends.select(F.coalesce(F.array_max(same), F.lit(0))).scalar()
+def _common_bytes(df: DataFrame, name: str) -> int:
+    """How many leading bytes the least and the greatest text share, and so all between them."""
+    ends = [(x or "").encode() for x in df.agg(F.min(name), F.max(name)).first()]
+    return len(os.path.commonprefix(ends))
 
 
 def with_value_block(df: DataFrame, name: str) -> DataFrame:
     """Add `_block`, a non-decreasing block number of a value, from FAN * FAN - 1 boundaries at like row counts.
 
-    The boundaries are approximate quantiles of a number that grows with the value, taken once per query as a scalar
-    subquery, so values crowded in a narrow band, surrogate keys or texts with a common start are spread like any
-    others. Equal values share a block. Rows should be reduced to distinct values first.
+    The boundaries are approximate quantiles of a number that grows with the value, taken in a job of their own, so
+    values crowded in a narrow band, surrogate keys or texts with a common start are spread like any others. Equal
+    values share a block. Rows should be reduced to distinct values first.
     """
     if isinstance(df.schema[name].dataType, T.StringType):
         number = _text_number(F.col(name), _common_bytes(df, name))
     else:
         number = as_number(df, name).cast("double")
     at = [i / (FAN * FAN) for i in range(1, FAN * FAN)]
-    numbered = df.withColumn("_number", number)
-    bounds = numbered.agg(F.percentile_approx("_number", F.array(*map(F.lit, at)), F.lit(20 * FAN * FAN)).alias("b"))
+    cuts = df.agg(F.percentile_approx(number, at, 20 * FAN * FAN)).first()[0] if at else []
+    cuts = sorted(set(cuts or []))
     # two levels: every FAN-th boundary, then those between two of them
-    levels = bounds.select(
-        F.struct(
-            F.transform(F.sequence(F.lit(1), F.lit(FAN - 1)), lambda i: F.get(F.col("b"), i * FAN - 1)).alias("coarse"),
-            F.transform(
-                F.sequence(F.lit(0), F.lit(FAN - 1)), lambda i: F.slice(F.col("b"), i * FAN + 1, F.lit(FAN - 1))
-            ).alias("fine"),
-        )
-    ).scalar()
+    coarse, fine = cuts[FAN - 1 :: FAN], [cuts[i : i + FAN - 1] for i in range(0, len(cuts) + 1, FAN)]
+    kind = "bigint" if isinstance(df.schema[name].dataType, T.StringType) else "double"
+    array = lambda xs: F.array(*map(F.lit, xs)).cast(f"array<{kind}>")
     below = lambda xs: F.size(F.filter(xs, lambda b: b < F.col("_number")))
-    placed = numbered.withColumn("_cuts", levels).withColumn("_top", below(F.col("_cuts.coarse")))
-    block = F.col("_top") * FAN + below(F.get(F.col("_cuts.fine"), F.col("_top")))
-    return placed.withColumn("_block", block.cast("bigint")).drop("_number", "_cuts", "_top")
+    placed = df.withColumn("_number", number).withColumn("_top", below(array(coarse)))
+    block = F.col("_top") * FAN + below(F.get(F.array(*map(array, fine)), F.col("_top")))
+    return placed.withColumn("_block", block.cast("bigint")).drop("_number", "_top")
 
 
 def _join_blocks(rows: DataFrame, blocks: DataFrame, by: tuple[str, ...]) -> DataFrame:
