@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tillroll.llm import bpe, fingerprints, mixing, quality, sharding, token_counts, toxicity
@@ -112,6 +113,11 @@ def test_mix(documents, monkeypatch):
         assert abs(sum(r.taken for r in own) - target) <= largest
         assert all(r.taken in (0, r.size, 2 * r.size) for r in own)
     assert 0 <= 1.5 * sum(sizes) - sum(r.taken for r in got) <= largest
+    sized = table.select(F.col("doc_id").alias("id"), "source", F.size(F.split("text", " ")).cast("long").alias("size"))
+    targets = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    queued = mixing._queued(sized, mixing.source_targets(targets, (5, 2, 1), 1.5, 2), 17)
+    widest = queued.groupBy("source", "block").count().agg(F.max("count")).first()[0]
+    assert widest <= 3 * 16  # a source with a third of the rows is many blocks
     assert mixing.mix_sources(documents([])).collect() == []
     assert [r.taken for r in mixing.mix_sources(documents([(1, None), (2, " ")])).collect()] == [0, 0]
 
@@ -192,8 +198,6 @@ def test_fingerprints(documents, spark, monkeypatch):
 
 
 def test_fingerprints_locate_edits(spark):
-    from pyspark.sql import functions as F
-
     lines = [f"line {i}" for i in range(40)]
     changed = list(lines)
     changed[3], changed[25] = "other", "another"

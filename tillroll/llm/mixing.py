@@ -50,9 +50,9 @@ def _queued(sized: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
     rows = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).drop(targets["source"])
     rows = rows.withColumn("key", F.xxhash64(F.lit(seed), "id", "size"))
     blocks = F.ceil(F.col("n") / BLOCK)
-    unit = F.shiftrightunsigned("key", 11) / F.lit(float(1 << 53))
-    # the key as an unsigned number orders a source's documents; blocks are ranges of it
-    rows = rows.withColumn("key", F.shiftrightunsigned("key", 11)).withColumn("block", F.floor(unit * blocks))
+    # 53 bits of the key as an unsigned number order a source's documents; blocks are ranges of it
+    rows = rows.withColumn("key", F.shiftrightunsigned("key", 11))
+    rows = rows.withColumn("block", F.floor(F.col("key") / F.lit(float(1 << 53)) * blocks))
     totals = rows.groupBy("place", "block").agg(F.sum("size").alias("total"))
     ahead = Window.partitionBy("place").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("place", "block", F.coalesce(F.sum("total").over(ahead), F.lit(0)).alias("ahead"))
