@@ -196,3 +196,13 @@ def test_line_dedup_odd_rows(documents):
     assert by[4] == [("", 1, [0])] * 2
     assert len(got) == len(rows)
     assert line_dedup.line_dedup(documents([])).collect() == []
+
+
+def test_line_dedup_equal_short_lines(documents):
+    rows = [(1, "Les.\nAnd\n\nown"), (2, "Les.\n\n\nAnt"), (3, "And\nLes."), (4, "x"), (5, "x"), (6, "")]
+    table = documents(rows).repartition(3)
+    got = line_dedup.line_dedup(table, min_equal=1).collect()
+    assert {r.doc_id: (r.text, r.n_compared, r.removed_lines) for r in got} == {
+        1: ("Les.\nAnd\n\nown", 3, []), 2: ("\n\nAnt", 2, [0]), 3: ("", 2, [0, 1]), 4: ("x", 1, []), 5: ("", 1, [0]), 6: ("", 0, []),
+    }
+    assert all(r.removed_lines == [] for r in line_dedup.line_dedup(table).collect())
