@@ -63,6 +63,13 @@ def test_stages_on_planted_rows(spark, documents, folder):
         assert stage(spark, docs.limit(0), folder).collect() == []
 
 
+def test_own_short_lines_keep_a_document(spark, documents, folder):
+    shared = "this long line of boilerplate stands in many documents"
+    docs = documents([(1, shared), (2, f"{shared}\nmilk\neggs"), (3, f"{shared}\n \u2003\t\n"), (4, f"milk\n{shared}"), (5, " ")])
+    lines = corpus_pipeline.drop_repeated_lines(spark, docs, folder).collect()
+    assert {r.doc_id: r.text for r in lines} == {1: shared, 2: "milk\neggs", 5: " "}
+
+
 def test_run(spark, folder):
     out = corpus_pipeline.run(spark, folder)
     assert out.columns[:4] == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() > 0
