@@ -206,3 +206,45 @@ def test_line_dedup_equal_short_lines(documents):
         1: ("Les.\nAnd\n\nown", 3, []), 2: ("\n\nAnt", 2, [0]), 3: ("", 2, [0, 1]), 4: ("x", 1, []), 5: ("", 1, [0]), 6: ("", 0, []),
     }
     assert all(r.removed_lines == [] for r in line_dedup.line_dedup(table).collect())
+
+
+def test_reaches():
+    rng = random.Random(4)
+    for edits in (0, 1, 3, 6):
+        a = ["".join(rng.choice("abé中") for _ in range(rng.randrange(40))) for _ in range(300)]
+        b = [edited(rng, x, rng.randrange(edits + 3)) for x in a]
+        assert [line_dedup._reaches(x, y, edits) for x, y in zip(a, b)] == [edit_distance(x, y) <= edits for x, y in zip(a, b)]
+
+
+@pytest.mark.parametrize("few", [2, 32])
+def test_line_dedup_of_long_lines_is_brute_force(documents, monkeypatch, few):
+    monkeypatch.setattr(line_dedup, "FEW", few)
+    monkeypatch.setattr(line_dedup, "BLOCK", 6)
+    monkeypatch.setattr(line_dedup, "BAND", 2 * few)
+    rng = random.Random(21)
+    vocabulary = ["".join(rng.choice("abcdefghé中") for _ in range(rng.randint(2, 9))) for _ in range(60)]
+    lines = []
+    for size in [70, 74, 75, 76, 99, 120, 200, 240, 320]:
+        base = ""
+        while len(base) < size:
+            base += rng.choice(vocabulary) + " "
+        base = base[:size]
+        for k in range(6):  # one or two words replaced, or edits at the bound and one off it, spread or at one end
+            words = base.split(" ")
+            for _ in range(1 + k % 2):
+                words[rng.randrange(len(words))] = rng.choice(vocabulary)
+            lines.append(" ".join(words))
+        bound = max(2, size // 25)
+        lines += [base, edited(rng, base, bound - 1), edited(rng, base, bound), edited(rng, base, bound + 1), "q" * bound + base, base[bound:]]
+    rng.shuffle(lines)
+    docs = [(i, "\n".join(lines[at : at + 3])) for i, at in enumerate(range(0, len(lines), 3))]
+    links, far = [], 0
+    for a, b in itertools.combinations(range(len(lines)), 2):
+        bound = max(2, min(len(lines[a]), len(lines[b])) // 25)
+        if abs(len(lines[a]) - len(lines[b])) <= bound and (distance := edit_distance(lines[a], lines[b])) <= bound:
+            links.append((a, b))
+            far += distance > 2 and len(lines[a]) >= 200
+    group = components(len(lines), links)
+    assert far > 10
+    got = line_dedup.line_dedup(documents(docs).repartition(5), edits=2, every=25, min_chars=20).collect()
+    assert {r.doc_id: r.removed_lines for r in got} == {i: [k for k in range(3) if group[3 * i + k] != 3 * i + k] for i, _ in docs}

@@ -67,7 +67,7 @@ def op7_shard_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    kept = line_dedup(table(spark, folder, "documents"), edits=2, min_chars=20, min_equal=1)
+    kept = line_dedup(table(spark, folder, "documents"), edits=2, every=25, min_chars=20, min_equal=1)
     return kept.select(
         "doc_id", F.col("n_lines").cast("long").alias("n_lines"), "removed_lines",
         F.length("text").cast("long").alias("kept_chars"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
