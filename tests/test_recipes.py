@@ -42,6 +42,16 @@ def test_receipt_totals_are_not_doubled(shop):
     assert sales.avg_items_per_order(shop).first()[0] == 1.25
 
 
+def test_basket_size_counts_orders_without_a_total(spark):
+    lines = sales_frame(spark, [
+        ("A", "2025-07-01 09:00:00", "Latte", 340, 340), ("B", "2025-07-01 09:10:00", "Latte", 340, -1),
+        ("C", "2025-07-01 09:20:00", "Latte", 340, -1), ("C", "2025-07-01 09:20:00", "Latte", 340, -1),
+    ]).withColumn("total_cost", F.expr("nullif(total_cost, -1)"))
+    got = [(r.n_items, r.orders_count, r.percent, r.cumulative_percent) for r in sales.order_size_distribution(lines).collect()]
+    assert got == [(1, 2, 66.67, 66.67), (2, 1, 33.33, 100.0)]
+    assert [r.median_check for r in sales.basket_size(lines).collect()] == [340.0, None]
+
+
 def test_empty_input(spark, shop):
     nothing = shop.limit(0)
     assert tuple(sales.business_totals(nothing).first()) == (0, None, None)
