@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from tillroll.llm.bpe import bpe_round_trip
 from tillroll.llm.embeddings import embedding_near_duplicates
 from tillroll.llm.fingerprints import edited_fingerprints
+from tillroll.llm.html_text import extract_text
 from tillroll.llm.line_dedup import line_dedup
 from tillroll.llm.mixing import mix_sources
 from tillroll.llm.ngram_join import ngram_jaccard_join
+from tillroll.llm.prefix_trie import prefix_trie
 from tillroll.llm.quality import quality_scores
 from tillroll.llm.sharding import shard_groups
+from tillroll.llm.spelling import spelling_variants
 from tillroll.llm.token_counts import token_counts
 from tillroll.llm.toxicity import toxicity_scores
 from tillroll.llm.workspace import table
@@ -86,6 +89,18 @@ def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(table(spark, folder, "pages"))
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(table(spark, folder, "documents"), modulus=97, least_chars=5, least_count=3, times=2)
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(table(spark, folder, "conversations"), span=5, heads=9)
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
