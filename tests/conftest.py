@@ -36,7 +36,3 @@ def folder():
 def rows():
     """Rows of a DataFrame as a sorted list of tuples."""
     return lambda df: sorted((tuple(r) for r in df.collect()), key=str)
-
-
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import plan_of
+from plans import plan_of
 from pyspark.sql import functions as F
 
 from tillroll import registry
