@@ -49,6 +49,46 @@ def test_quantiles_of_nothing(spark):
     assert (got.n, got.q2) == (2, 2.0)
 
 
+@pytest.mark.parametrize("value", [
+    "cast(id * 7919 % 40000 + 1000000000000000000 as bigint)", "exp(id * 7919 % 40000 / 1000 - 20)", "if(id = 0, -1e15, id % 40000)",
+    "if(id % 3 = 0, 42, id * 7919 % 40000)", "cast(id * 7919 % 40000 / 100 as decimal(18,2))", "if(id % 5 = 0, null, cast(id % 40000 as double))",
+])
+@pytest.mark.parametrize("parts", [1, 60])
+def test_quantiles_from_windows(spark, monkeypatch, value, parts):
+    """Groups too large to be counted value by value, of many sketches."""
+    monkeypatch.setattr(ordered, "FEW", 2000)
+    monkeypatch.setattr(ordered, "ACCURACY", 2000)
+    monkeypatch.setattr(ordered, "MARGIN", 2.5e-3)
+    df = spark.range(0, 60_000, 1, parts).select(F.expr(value).alias("v"), (F.col("id") % 10 < 7).alias("g"))
+    pdf = df.toPandas()
+    for by, groups in ((), [((), pdf)]), (("g",), list(pdf.groupby(["g"]))):
+        got = {r[:-1]: r[-1] for r in ((*[x[c] for c in by], x) for x in distribution(df, "v", PROBS, by=by).collect())}
+        for key, part in groups:
+            known = part.v.dropna().astype(float)
+            row = got[tuple(key)]
+            assert (row.n, row.n_rows) == (len(known), len(part))
+            for name, p in PROBS.items():
+                assert row[name] == pytest.approx(np.quantile(known, p), rel=1e-12, abs=1e-4)
+
+
+def test_quantiles_off_the_windows_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "FEW", 10)
+    monkeypatch.setattr(ordered, "ACCURACY", 5)
+    monkeypatch.setattr(ordered, "MARGIN", 1e-9)
+    with pytest.raises(Exception, match="off its bound"):
+        distribution(spark.range(60_000).select(F.expr("id * 7919 % 60000").alias("v")), "v", PROBS).collect()
+
+
+def test_quantiles_start_no_job_when_built(spark):
+    context, df = spark.sparkContext, spark.range(1000).select(F.col("id").alias("v"))
+    context.setJobGroup("build", "")
+    got = distribution(df, "v", PROBS)
+    assert not context.statusTracker().getJobIdsForGroup("build")
+    got.collect()
+    assert context.statusTracker().getJobIdsForGroup("build")
+    context.setJobGroup("", "")
+
+
 def test_value_blocks_follow_the_order(spark):
     values = sorted([-1e9, -3.5, -0.01, 0.0, 0.01, 1.0, 2.0, 99.99, 100.0, 1e6, 1e12])
     df = spark.createDataFrame([(v,) for v in values], "v double")

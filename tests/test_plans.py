@@ -123,3 +123,13 @@ def test_row_number_dedup_is_limited_before_the_shuffle(spark, folder):
     lines = views.order_lines_raw(spark, folder)
     plan = plan_of(dedup(lines, "row_number", order=("sale_date",)))
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_quantiles_move_few_rows(spark, folder):
+    """Receipts once by key, then the sketch, the counts around the quantiles and their order; no sort of raw values."""
+    df = QUERIES["check_distribution"](spark, folder)
+    df.collect()
+    plan = plan_of(df).split("\n")
+    run = [b for a, b in zip(plan, plan[1:]) if "ShuffleQueryStage" in a and "ReusedExchange" not in b]
+    assert len(run) <= 4, run
+    assert not any("SortAggregate" in x for x in plan)

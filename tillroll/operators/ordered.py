@@ -19,11 +19,19 @@ from tillroll.operators.joins import join_keys
 
 #: Blocks are FAN * FAN ranges of like row counts.
 FAN = 32
+#: A sketch finds ranks to within rows / ACCURACY; windows around a quantile reach five times as far. Groups of up to FEW rows
+#: need no window: there, a rank is more of a share of the rows than that.
+ACCURACY, MARGIN, FEW = 50_000, 1e-4, 100_000
 
 
 def as_number(df: DataFrame, name: str) -> Column:
     """Increasing number for a numeric, date or timestamp column."""
-    kind, col = df.schema[name].dataType, F.col(name)
+    return as_number_of(df, name, F.col(name))
+
+
+def as_number_of(df: DataFrame, name: str, col: Column) -> Column:
+    """The same for an expression of the column's type."""
+    kind = df.schema[name].dataType
     if isinstance(kind, T.DateType):
         return F.unix_date(col)
     if isinstance(kind, T.TimestampNTZType):
@@ -106,60 +114,51 @@ def running_total(
 def distribution(
     df: DataFrame, value: str, quantiles: dict[str, float], by: tuple[str, ...] = (), digits: int = 4
 ) -> DataFrame:
-    """Per group: n, total, min_value, max_value and exact linear-interpolated quantiles.
+    """Per group: n (known values), n_rows (all), total, min_value, max_value and exact linear-interpolated quantiles.
 
-    Null and NaN are left out. Rows are first reduced to (value, count). Only the blocks that hold a wanted rank are ordered.
+    Null and NaN are not known; a group without a known value has n = 0. Two passes in one lazy plan: the first keeps the sums
+    and a sketch of each group, whose size does not grow with the data. The sketch names a narrow window of values around each
+    quantile. The second pass counts each value inside a window by itself and all values between two windows as one row, so
+    only those few rows are shuffled and ordered. A sketch that missed its error bound would put a quantile between the
+    windows; that is an error at run time, not a wrong result.
     """
     by = tuple(by)
-    counts = df.filter(present(df, value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
-    counts = with_value_block(counts, value)
-    upto = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*by)
-    blocks = (
-        counts.groupBy(*by, "_block")
-        .agg(
-            F.sum("_n").alias("_bn"),
-            F.sum(F.col(value) * F.col("_n")).alias("_bt"),
-            F.min(value).alias("_bmin"),
-            F.max(value).alias("_bmax"),
-        )
-        .withColumn("_before", F.sum("_bn").over(upto) - F.col("_bn"))
-        .withColumn("_count", F.sum("_bn").over(whole))
-        .withColumn("_total", F.sum("_bt").over(whole))
-        .withColumn("_least", F.min("_bmin").over(whole))
-        .withColumn("_most", F.max("_bmax").over(whole))
+    rows = df.select(*by, present(df, value).alias("_v")).withColumn("_x", as_number_of(df, value, F.col("_v")).cast("double"))
+    windows = {name: (max(0.0, p - MARGIN), min(1.0, p + MARGIN)) for name, p in quantiles.items()}
+    cuts = sorted({c for pair in windows.values() for c in pair})
+    whole = isinstance(df.schema[value].dataType, T.IntegralType)
+    stats = rows.groupBy(*by).agg(
+        F.count("_v").alias("n"), F.count("*").alias("n_rows"), F.sum(F.col("_v").cast("decimal(20,0)") if whole else "_v").alias("total"), F.min("_v").alias("min_value"),
+        F.max("_v").alias("max_value"), F.percentile_approx("_x", cuts, ACCURACY).alias("cuts"),
+    ).select(*by, F.struct("n", "n_rows", "total", "min_value", "max_value", "cuts").alias("_s"))
+    # the groups' sketches are a small table, broadcast if its measured size allows; without groups they are one row
+    with_stats = lambda part: join_keys(part, stats, by) if by else part.withColumn("_s", stats.scalar())
+    rows = with_stats(rows)
+    cut = {c: F.get("_s.cuts", k) for k, c in enumerate(cuts)}
+    inside = reduce(lambda a, b: a | b, [F.col("_x").between(cut[low], cut[high]) for low, high in windows.values()])
+    alone = F.col("_v").isNotNull() & ((F.col("_s.n") <= FEW) | inside)
+    between = reduce(lambda a, b: a + b, [F.when(c < F.col("_x"), 1).otherwise(0) for c in cut.values()])
+    slots = rows.groupBy(*by, between.alias("_slot"), F.when(alone, F.col("_v")).alias("_at")).agg(
+        F.count("_v").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.max("_s.n").alias("_known")
     )
-    position = {name: (F.col("_count") - 1) * F.lit(float(p)) for name, p in quantiles.items()}
-    wanted = reduce(
-        lambda a, b: a | b,
-        [(F.col("_before") <= F.ceil(at)) & (F.col("_before") + F.col("_bn") > F.floor(at)) for at in position.values()],
-    )
-    hits = blocks.filter(wanted).select(*by, "_block", "_before", "_count", "_total", "_least", "_most")
-    inside = Window.partitionBy(*by, "_block").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        _join_blocks(counts, hits, by)
-        .withColumn("_end", F.col("_before") + F.sum("_n").over(inside))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
-    )
-    number = F.col(value).cast("double")
+    upto = Window.partitionBy(*by).orderBy("_low").rowsBetween(Window.unboundedPreceding, 0)
+    slots = slots.withColumn("_end", F.sum("_n").over(upto)).withColumn("_start", F.col("_end") - F.col("_n"))
+    missed = F.raise_error(f"the sketch of {value} is off its bound").cast("double")
+    number = F.when(F.col("_low") == F.col("_high"), F.col("_low").cast("double")).otherwise(missed)
     picks = []
-    for name, at in position.items():
+    for name, p in quantiles.items():
+        at = (F.col("_known") - 1) * F.lit(float(p))
         for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
             here = (F.col("_start") <= rank) & (rank < F.col("_end"))
             picks.append(F.max(F.when(here, number)).alias(f"_{side}_{name}"))
-    found = ranked.groupBy(*by).agg(
-        F.max("_count").alias("n"),
-        F.max("_total").alias("total"),
-        F.max("_least").alias("min_value"),
-        F.max("_most").alias("max_value"),
-        *picks,
-    )
+    found = with_stats(slots.groupBy(*by).agg(*picks))
     columns = []
     for name, p in quantiles.items():
-        at = (F.col("n") - 1) * F.lit(float(p))
+        at = (F.col("_s.n") - 1) * F.lit(float(p))
         step = F.col(f"_hi_{name}") - F.col(f"_lo_{name}")
         columns.append(rounded(F.col(f"_lo_{name}") + step * (at - F.floor(at)), digits).alias(name))
-    return found.select(*by, F.coalesce("n", F.lit(0)).alias("n"), "total", "min_value", "max_value", *columns)
+    counts = [F.coalesce(f"_s.{c}", F.lit(0)).alias(c) for c in ("n", "n_rows")]
+    return found.select(*by, *counts, "_s.total", "_s.min_value", "_s.max_value", *columns)
 
 
 def interpolate(df: DataFrame, column: str, order: str | tuple[str, ...], by: tuple[str, ...] = ()) -> DataFrame:

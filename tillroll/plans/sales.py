@@ -111,8 +111,7 @@ def basket_size(lines: DataFrame) -> DataFrame:
     """Orders by number of lines: average, median, shares and cumulative percent. Orders without a total are counted."""
     orders = items_per_receipt(lines)
     sizes = distribution(orders, TOTAL, {"median_check": 0.5}, by=("n_items",), digits=2)
-    counts = orders.groupBy("n_items").agg(F.count("*").alias("order_count"))
-    table = counts.join(sizes.withColumnRenamed("total", "_sum"), "n_items", "left")
+    table = sizes.withColumnsRenamed({"total": "_sum", "n_rows": "order_count"})
     whole = Window.partitionBy()
     upto = Window.orderBy("n_items")
     return table.select(
