@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 
+from tillroll.llm import edit_distance as edit_distance_bits
 from tillroll.llm import embeddings, line_dedup, ngram_join
 from tillroll.llm.graph import connected_components
 
@@ -153,7 +154,7 @@ def test_banded_distance(edits):
     a = ["".join(rng.choice("abé中") for _ in range(rng.randrange(15))) for _ in range(1500)]
     b = [edited(rng, x, rng.randrange(edits + 3)) for x in a]
     want = [edit_distance(x, y) <= edits for x, y in zip(a, b)]
-    assert line_dedup.within_edits(a, b, edits).tolist() == want
+    assert line_dedup.near_pairs(a, b, edits, 0).tolist() == want
 
 
 @pytest.mark.parametrize("few", [2, 32])
@@ -208,19 +209,42 @@ def test_line_dedup_equal_short_lines(documents):
     assert all(r.removed_lines == [] for r in line_dedup.line_dedup(table).collect())
 
 
-def test_reaches():
+@pytest.mark.parametrize(("look", "chunk"), [(1, 5000), (16, 1 << 22)])
+def test_bounds_of_their_own(monkeypatch, look, chunk):
+    """Bands of a word and wider ones, patterns shorter than the band, pairs that end early."""
+    monkeypatch.setattr(edit_distance_bits, "LOOK", look)
+    monkeypatch.setattr(edit_distance_bits, "CHUNK", chunk)
     rng = random.Random(4)
-    for edits in (0, 1, 3, 6):
-        a = ["".join(rng.choice("abé中") for _ in range(rng.randrange(40))) for _ in range(300)]
-        b = [edited(rng, x, rng.randrange(edits + 3)) for x in a]
-        assert [line_dedup._reaches(x, y, edits) for x, y in zip(a, b)] == [edit_distance(x, y) <= edits for x, y in zip(a, b)]
+    for size in (1, 12, 60, 140):
+        a = ["".join(rng.choice("abé中" if rng.random() < 0.5 else "abcdefgh") for _ in range(rng.randrange(size))) for _ in range(250)]
+        b = [edited(rng, x, rng.randrange(1 + max(3, size // 3))) if rng.random() < 0.8 else rng.choice(a) for x in a]
+        bounds = np.array([rng.choice([rng.randrange(32), 31, 32, rng.randrange(32, 60)]) for _ in a])
+        assert edit_distance_bits.within_bounds(a, b, bounds).tolist() == [edit_distance(x, y) <= t for x, y, t in zip(a, b, bounds)]
+    long = "".join(rng.choice("abcdefgh ") for _ in range(40_000))
+    assert edit_distance_bits.within_bounds([long] * 2, [edited(rng, long, 900), long[::-1]], np.array([1600, 1600])).tolist() == [True, False]
+
+
+def test_line_dedup_odd_rows_with_growing_bound(documents):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9)))
+    long = " ".join(word() for _ in range(25_000))
+    line = " ".join(word() for _ in range(30))
+    near = line.replace(" ", "  ", 3)
+    rows = ODD + [(1, long), (2, edited(rng, long, 4000) + "\n" + line), (3, near), (4, line), (4, line), (None, near), (5, "\n".join([near] * 2000)), (6, None)]
+    got = line_dedup.line_dedup(documents(rows).repartition(3), edits=2, every=25, min_chars=20, min_equal=1).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, []).append((r.text, r.n_lines, r.removed_lines))
+    assert by[901] == [(None, 0, [])] and by[902] == [("", 1, [])] and by[6] == [(None, 0, [])]
+    assert by[1] == [(long, 1, [])] and by[2] == [("", 2, [0, 1])]
+    assert (near, 1, []) in by[None] and by[3] == [("", 1, [0])] and by[4] == [("", 1, [0])] * 2
+    assert by[5][0][2] == list(range(2000)) and len(got) == len(rows)
 
 
 @pytest.mark.parametrize("few", [2, 32])
 def test_line_dedup_of_long_lines_is_brute_force(documents, monkeypatch, few):
     monkeypatch.setattr(line_dedup, "FEW", few)
     monkeypatch.setattr(line_dedup, "BLOCK", 6)
-    monkeypatch.setattr(line_dedup, "BAND", 2 * few)
     rng = random.Random(21)
     vocabulary = ["".join(rng.choice("abcdefghé中") for _ in range(rng.randint(2, 9))) for _ in range(60)]
     lines = []
