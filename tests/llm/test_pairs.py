@@ -162,6 +162,7 @@ def test_banded_distance(edits):
 def test_line_dedup_is_brute_force(documents, monkeypatch, few, edits):
     monkeypatch.setattr(line_dedup, "FEW", few)
     monkeypatch.setattr(line_dedup, "BLOCK", 6)
+    monkeypatch.setattr(line_dedup, "PIVOTS", few)
     rng = random.Random(9)
     base = ["".join(rng.choice("abcdefé ") for _ in range(rng.randint(20, 60))) for _ in range(25)]
     docs = []
@@ -245,6 +246,7 @@ def test_line_dedup_odd_rows_with_growing_bound(documents):
 def test_line_dedup_of_long_lines_is_brute_force(documents, monkeypatch, few):
     monkeypatch.setattr(line_dedup, "FEW", few)
     monkeypatch.setattr(line_dedup, "BLOCK", 6)
+    monkeypatch.setattr(line_dedup, "PIVOTS", few)
     rng = random.Random(21)
     vocabulary = ["".join(rng.choice("abcdefghé中") for _ in range(rng.randint(2, 9))) for _ in range(60)]
     lines = []
