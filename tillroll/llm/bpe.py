@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.workspace import map_arrow
 
-#: Encoded pre-tokens that a worker keeps, and the longest it keeps.
-KNOWN, LONGEST = 150_000, 64
+#: Encoded pre-tokens in each of the two halves of a worker's table, and the longest it keeps.
+KNOWN, LONGEST = 200_000, 64
 
 # White space and the pre-token pattern of the byte-level scheme.
 _WHITE = r"\t-\r \x85\xa0  -     　"
@@ -46,6 +46,7 @@ class ByteBpe(dict):
 
     def __init__(self, path: str):
         super().__init__()
+        self.earlier: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab = spec["model"]["vocab"]
@@ -92,15 +93,17 @@ class ByteBpe(dict):
         return [s for s in symbols if s >= 0]
 
     def __missing__(self, token: str) -> bytes:
-        ids = self.piece(token.encode())
-        packed = struct.pack(f"<{len(ids)}I", *ids)
+        if (packed := self.earlier.get(token)) is None:
+            ids = self.piece(token.encode())
+            packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(token) <= LONGEST:
             self[token] = packed
         return packed
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian 32-bit numbers; strings of added tokens become their ids."""
-        if len(self) > KNOWN:
+        if len(self) > KNOWN:  # what is still in use moves on from the earlier half
+            self.earlier = dict(self)
             self.clear()
         parts = self.split.split(text) if self.split else [text]
         out = []
