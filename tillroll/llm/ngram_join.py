@@ -260,7 +260,7 @@ def ngram_jaccard_join(
     rows = materialize(document_shingles(docs, k, id_col, text_col), "sizes")
     classes = rows.filter("sig is not null").groupBy("sig").agg(F.min("id").alias("first_id"))
     maps = _bitmaps(_region_counts(docs, k, text_col))
-    postings = _postings(docs, maps, k, num, den, text_col).dropDuplicates(["h", "sig"])
+    postings = materialize(_postings(docs, maps, k, num, den, text_col).dropDuplicates(["h", "sig"]), "columns")
     columns = postings.groupBy("h").agg(F.count("*").alias("width")).filter("width > 1")
     live = materialize(postings.join(columns, "h"), "postings")
     # how many columns of a class are not in the pair counts
@@ -270,8 +270,19 @@ def ngram_jaccard_join(
     pairs = materialize(_candidates(short, num, den), "pairs")
     involved = pairs.select(F.explode(F.array("a", "b")).alias("sig")).unionAll(wide.select("sig")).distinct()
     sets = materialize(_sets(involved, docs, classes, k, id_col, text_col), "sets")
-    ties = _verified(pairs, sets, num, den).unionAll(_wide_links(wide, sets, num, den))
-    return _described(rows, classes, connected_components(ties), id_col)
+    return _described(rows, classes, connected_components(_ties(pairs, wide, sets, num, den)), id_col)
+
+
+def _ties(pairs: DataFrame, wide: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links that connect what all links connect. Wide columns and one pair of each class are verified first; then the pairs
+    whose ends these have not connected, so that a family of near copies does not move its sets once for every pair."""
+    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    ties = materialize(_verified(first, sets, num, den).unionAll(_wide_links(wide, sets, num, den)), "ties")
+    parts = materialize(connected_components(ties), "parts")
+    part = lambda end: parts.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
+    apart = pairs.join(part("a"), "a", "left").join(part("b"), "b", "left").filter("coalesce(ca, a) != coalesce(cb, b)")
+    apart = apart.join(first, ["a", "b"], "left_anti").select("a", "b")
+    return ties.unionAll(_verified(apart, sets, num, den))
 
 
 def _described(rows: DataFrame, classes: DataFrame, parts: DataFrame, id_col: str) -> DataFrame:
