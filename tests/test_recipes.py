@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tillroll.constants import DAY_PARTS
 from tillroll.functions.labels import time_of_day
+from tillroll.operators import windows
 from tillroll.plans import cohorts, inventory, operations, products, sales, staffing, trends
 
 DAY = lambda i: dt.date(2025, 7, i)
@@ -203,3 +204,24 @@ def test_growth_truncation_option(spark):
     whole = staffing.staffing_matrix(shop, "2025-07-01", "2025-10-01", integer_division=True).first()
     assert (exact.hour_label, exact.day_label, exact.avg_wow_growth_pct, whole.avg_wow_growth_pct) == ("09:00", "2. Tuesday", 0.0, 0.0)
     assert (exact.avg_receipts, exact.median_receipts, exact.p90_receipts, exact.pct_weeks_growing) == (4.5, 4.5, 5.7, 50.0)
+
+
+@pytest.mark.parametrize("kind", ["bigint", "decimal(18,2)"])
+def test_moving_stats_equal_frames(spark, kind):
+    """Running sums against frames, with gaps, groups shorter than the window, and large numbers that vary little."""
+    rows = spark.range(900).select(
+        (F.col("id") % 7).alias("k"), F.col("id").alias("t"), F.expr(f"cast(if(id % 11 = 3, null, if(id % 7 = 6, 1000000000, 0) + id * 7919 % 101) as {kind})").alias("v")
+    ).filter("k != 5 or t < 60")
+    along = windows.series("t", ("k",))
+    want = rows.withColumns({
+        "m": windows.moving_average("v", along, 30, 7), "m0": windows.moving_average("v", along, 30, 0),
+        "s": windows.moving_stddev("v", along, 30), "s7": windows.moving_stddev("v", along, 30, 7),
+    })
+    got = windows.with_moving_stats(rows, "v", "t", ("k",), 30, mean={"m": 7, "m0": 0}, std={"s": None, "s7": 7})
+    assert got.columns == want.columns
+    for a, b in zip(got.orderBy("t").collect(), want.orderBy("t").collect()):
+        for x, y in zip(a, b):
+            assert x == y or abs(float(x) - float(y)) <= 2e-5 * (1 if a.k == 6 else 0.1)
+    assert "boundedpreceding$(), -" not in got._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(TypeError):
+        windows.with_moving_stats(rows.withColumn("v", F.col("v").cast("double")), "v", "t", ("k",), 30)

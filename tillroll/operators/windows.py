@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.functions.numbers import ratio, rounded
 from tillroll.operators.joins import join_keys
@@ -34,6 +35,33 @@ def moving_stddev(col: str, window: WindowSpec, rows: int, min_periods: int | No
     return F.when(F.count(col).over(frame) >= max(need, 2), rounded(value, digits))
 
 
+def with_moving_stats(
+    df: DataFrame, col: str, order: str, by: tuple[str, ...], rows: int,
+    mean: dict[str, int] | None = None, std: dict[str, int | None] | None = None, digits: int = 6,
+) -> DataFrame:
+    """`moving_average` and `moving_stddev` of whole or decimal numbers under the given names (name: `min_periods`), at a cost a row that
+    does not depend on `rows`.
+
+    Running counts, sums and sums of squares are exact, so the difference between the current row and the one `rows` before is too. Doubles,
+    whose differences would cancel, are refused.
+    """
+    kind = df.schema[col].dataType
+    if not isinstance(kind, (T.IntegralType, T.DecimalType)):
+        raise TypeError(f"{col} has no exact sums")
+    along = series(order, by)
+    upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    value = F.col(col).cast("decimal(20,0)") if isinstance(kind, T.IntegralType) else F.col(col)
+    running = {"_c": F.count(value), "_s": F.sum(value), "_q": F.sum(value * value)}
+    sums = df.withColumns({name: F.coalesce(total.over(upto), F.lit(0)) for name, total in running.items()})
+    sums = sums.withColumns({f"{name}0": F.coalesce(F.lag(name, rows).over(along), F.lit(0)) for name in running})
+    count, total, squares = (F.col(name) - F.col(f"{name}0") for name in running)
+    spread = (count * squares - total * total).cast("double") / (count * (count - 1)).cast("double")
+    out = {name: F.when(count >= max(least, 1), ratio(total, count, digits)) for name, least in (mean or {}).items()}
+    for name, least in (std or {}).items():
+        out[name] = F.when(count >= max(rows if least is None else least, 2), rounded(F.sqrt(spread), digits))
+    return sums.withColumns(out).drop(*running, *[f"{name}0" for name in running])
+
+
 def with_group_stats(df: DataFrame, by: tuple[str, ...], **stats: Column) -> DataFrame:
     """Each row plus aggregates of its group; rows with a null key form a group.
 

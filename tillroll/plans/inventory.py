@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillroll.constants import SERVICE_LEVELS, Z_BY_SERVICE_LEVEL
 from tillroll.functions.dates import as_of_date, clock_text, second_of_day
 from tillroll.functions.numbers import rounded
-from tillroll.operators.windows import moving_average, moving_stddev, series
+from tillroll.operators.windows import moving_average, series, with_moving_stats
 from tillroll.sources.files import write_csv
 
 
@@ -61,12 +61,9 @@ def reorder_point(
     sales: DataFrame, window: int = 30, min_periods: int = 7, lead_time: int = 7, z: float = 1.65
 ) -> DataFrame:
     """Daily demand with its trailing mean and deviation, reorder point, safety stock and band."""
-    along = series("sale_date", ("product_id",))
-    stats = daily_product_sales(sales).withColumns(
-        {
-            "rolling_avg": moving_average("daily_sales", along, window, min_periods),
-            "rolling_std": moving_stddev("daily_sales", along, window, min_periods),
-        }
+    stats = with_moving_stats(
+        daily_product_sales(sales), "daily_sales", "sale_date", ("product_id",), window,
+        mean={"rolling_avg": min_periods}, std={"rolling_std": min_periods},
     )
     return stock_targets(stats, lead_time, F.lit(float(z)))
 
@@ -113,10 +110,6 @@ def reorder_signal(
 
 def demand_volatility(sales: DataFrame, window: int = 30, min_periods: int = 7) -> DataFrame:
     """Trailing deviation with and without a minimum number of days."""
-    along = series("sale_date", ("product_id",))
-    return daily_product_sales(sales).withColumns(
-        {
-            "std_no_min": moving_stddev("daily_sales", along, window),
-            "std_with_min": moving_stddev("daily_sales", along, window, min_periods),
-        }
+    return with_moving_stats(
+        daily_product_sales(sales), "daily_sales", "sale_date", ("product_id",), window, std={"std_no_min": None, "std_with_min": min_periods}
     )
