@@ -225,6 +225,13 @@ def test_bounds_of_their_own(monkeypatch, look, chunk):
     assert edit_distance_bits.within_bounds([long] * 2, [edited(rng, long, 900), long[::-1]], np.array([1600, 1600])).tolist() == [True, False]
 
 
+@pytest.mark.parametrize("share", [0, 0.001, 0.06, 0.07, 0.5, 1])
+def test_blocks_of_bits(share):
+    bits = np.packbits(np.random.default_rng(3).random(8 * 4096) < share)
+    packed = line_dedup._packed(bits)
+    assert (line_dedup._unpacked(packed) == bits).all() and len(packed) <= 4096
+
+
 def test_line_dedup_odd_rows_with_growing_bound(documents):
     rng = random.Random(8)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9)))
