@@ -1,6 +1,7 @@
 """Blocked order operators against numpy and pandas, with many blocks and hot groups."""
 
 import datetime as dt
+import uuid
 from decimal import Decimal as M
 
 import numpy as np
@@ -79,13 +80,18 @@ def test_quantiles_off_the_windows_are_an_error(spark, monkeypatch):
         distribution(spark.range(60_000).select(F.expr("id * 7919 % 60000").alias("v")), "v", PROBS).collect()
 
 
-def test_quantiles_start_no_job_when_built(spark):
-    context, df = spark.sparkContext, spark.range(1000).select(F.col("id").alias("v"))
-    context.setJobGroup("build", "")
-    got = distribution(df, "v", PROBS)
-    assert not context.statusTracker().getJobIdsForGroup("build")
+@pytest.mark.parametrize("build", [
+    lambda df: distribution(df, "v", PROBS), lambda df: running_total(df, "v", "v"), lambda df: fit_ordinal(df, "w"),
+    lambda df: interpolate(df, "v", "id"), lambda df: interpolate(df, "v", "id", ("w",)),
+])
+def test_no_job_starts_when_built(spark, build):
+    context, df = spark.sparkContext, spark.range(1000).select("id", F.col("id").alias("v"), F.col("id").cast("string").alias("w"))
+    group = str(uuid.uuid4())
+    context.setJobGroup(group, "")
+    got = build(df)
+    assert not context.statusTracker().getJobIdsForGroup(group)
     got.collect()
-    assert context.statusTracker().getJobIdsForGroup("build")
+    assert context.statusTracker().getJobIdsForGroup(group)
     context.setJobGroup("", "")
 
 
@@ -102,17 +108,45 @@ def test_value_blocks_follow_the_order(spark):
 @pytest.mark.parametrize("value", [
     "cast(id + 1000000000000000000 as bigint)", "1000 + id / 20000", "id / 200000", "concat('Customer#', lpad(id, 9, '0'))",
     "timestamp_ntz '2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id)", "if(id = 0, -1e15, id)",
+    "if(id = 0, 'A', concat('Customer#', lpad(id, 9, '0')))", "if(id = 0, 'zz', concat('Customer#', lpad(id, 9, '0')))",
+    "cast(id as decimal(38,0)) * 100000000000000000000", "date_add(date '1970-01-01', cast(id as int))",
 ])
-def test_blocks_follow_the_data(spark, value):
-    """Narrow bands, surrogate keys, texts with a common start and outliers are spread like any other values."""
-    n = 200_000
+@pytest.mark.parametrize("n", [20_000, 200_000])
+def test_blocks_follow_the_data(spark, monkeypatch, value, n):
+    """Narrow bands, surrogate keys, texts with a common start and outliers are spread like any other values, and blocks
+    grow in number, not in size."""
+    monkeypatch.setattr(ordered, "ROWS", 2048)
     df = spark.range(n).select(F.expr(value).alias("v"))
     sizes = [r["count"] for r in with_value_block(df, "v").groupBy("_block").count().collect()]
-    assert sum(sizes) == n and max(sizes) <= 2 * max(n / ordered.FAN**2, 300)
+    assert sum(sizes) == n and max(sizes) <= 2 * 2048 and len(sizes) >= n / 2048 / 1.5
+
+
+def test_samples_of_large_tables_are_bounded(spark, monkeypatch):
+    """Beyond MARKS sampled values blocks grow instead."""
+    monkeypatch.setattr(ordered, "ROWS", 64)
+    monkeypatch.setattr(ordered, "MARKS", 1024)
+    df = spark.range(100_000).select(F.col("id").alias("v"))
+    assert 0.8 * 1024 < len(ordered._marks(df, "v", ("v",)).first().marks) < 1.2 * 1024
+    blocks = with_value_block(df, "v").groupBy("_block").agg(F.count("*").alias("n"), F.min("v").alias("a"), F.max("v").alias("b"))
+    rows = blocks.orderBy("_block").collect()
+    assert 24 <= len(rows) <= 40 and sum(r.n for r in rows) == 100_000 and all(r.b - r.a + 1 == r.n for r in rows)
+
+
+def test_blocks_of_few_values_or_none(spark, monkeypatch):
+    """A hot value stays whole, null is in the first block, an empty table has none."""
+    monkeypatch.setattr(ordered, "ROWS", 256)
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 3 == 1, F.col("id")).alias("v"), "id")
+    got = with_value_block(df, "v", ("id",))
+    assert got.filter("v = 5").select("_block").distinct().count() == 1
+    assert [r._block for r in got.filter("v is null").select("_block").distinct().collect()] == [0]
+    assert with_value_block(df.filter("id < 0"), "v").count() == 0
+    assert with_value_block(df.filter("v is null"), "v").filter("_block = 0").count() == 10_000
 
 
+@pytest.mark.parametrize("rows", [64, 1 << 17])
 @pytest.mark.parametrize("descending", [False, True])
-def test_running_total_steps_ties_together(spark, descending):
+def test_running_total_steps_ties_together(spark, monkeypatch, descending, rows):
+    monkeypatch.setattr(ordered, "ROWS", rows)
     rng = np.random.default_rng(5)
     pdf = pd.DataFrame({"k": range(800), "v": rng.integers(1, 200, 800) * 1000})
     got = running_total(spark.createDataFrame(pdf), "v", "v", descending=descending).toPandas().sort_values("k")
@@ -121,6 +155,14 @@ def test_running_total_steps_ties_together(spark, descending):
     assert (got.grand_total == pdf.v.sum()).all()
 
 
+def test_ordinal_codes_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "ROWS", 64)
+    words = [f"Customer#{i:09d}" for i in range(5000)] + ["A", "zz", "", "я"]
+    df = spark.createDataFrame([(w,) for w in words], "w string").repartition(5)
+    got = {r.category: r.code for r in fit_ordinal(df, "w").collect()}
+    assert got == {w: i for i, w in enumerate(sorted(words))}
+
+
 def test_ordinal_dictionary_is_sorted(spark):
     words = ["pear", "apple", "fig", "apples", "äpfel", "Zoo"]
     df = spark.createDataFrame([(w,) for w in words * 3] + [(None,)], "w string")
@@ -128,9 +170,9 @@ def test_ordinal_dictionary_is_sorted(spark):
     assert got == {w: i for i, w in enumerate(sorted(words))}
 
 
-@pytest.mark.parametrize("fan", [1, 2, 32])
-def test_interpolation_equals_pandas(spark, monkeypatch, fan):
-    monkeypatch.setattr(ordered, "FAN", fan)
+@pytest.mark.parametrize("rows", [32, 128, 1 << 17])
+def test_interpolation_equals_pandas(spark, monkeypatch, rows):
+    monkeypatch.setattr(ordered, "ROWS", rows)
     rng = np.random.default_rng(11)
     keys = rng.choice(["hot", "a", "b"], 600, p=[0.8, 0.15, 0.05])
     values = np.where(rng.random(600) < 0.6, np.nan, rng.integers(0, 1000, 600).astype(float))
@@ -143,7 +185,9 @@ def test_interpolation_equals_pandas(spark, monkeypatch, fan):
     np.testing.assert_allclose(got, want, atol=1e-9)
 
 
-def test_interpolation_with_equal_times(spark):
+@pytest.mark.parametrize("rows", [32, 1 << 17])
+def test_interpolation_with_equal_times(spark, monkeypatch, rows):
+    monkeypatch.setattr(ordered, "ROWS", rows)
     rng = np.random.default_rng(4)
     pdf = pd.DataFrame({"t": rng.integers(0, 20, 400), "e": rng.permutation(400), "v": np.where(rng.random(400) < 0.5, np.nan, rng.random(400))})
     pdf = pdf.sort_values(["t", "e"], ignore_index=True)

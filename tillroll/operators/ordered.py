@@ -2,12 +2,10 @@
 
 Values are cut into blocks by boundaries that follow the data, each block is ordered on its
 own, and what comes before a block is a running sum over the short list of blocks. The
-boundaries (at most FAN * FAN numbers) are found by a job that runs when the query is
-built and are literals of the plan, so a retried task or a second scan puts every row in
-the same block.
+boundaries depend on the data alone, so a retried task or a second scan puts every row in
+the same block, and no job runs when the query is built.
 """
 
-import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,8 +15,8 @@ from pyspark.sql import types as T
 from tillroll.functions.numbers import present, rounded
 from tillroll.operators.joins import join_keys
 
-#: Blocks are FAN * FAN ranges of like row counts.
-FAN = 32
+#: Rows wanted in a block, sampled values to each of its boundaries, and most sampled values of all blocks.
+ROWS, OVER, MARKS = 1 << 17, 32, 1 << 21
 #: A sketch finds ranks to within rows / ACCURACY; windows around a quantile reach five times as far. Groups of up to FEW rows
 #: need no window: there, a rank is more of a share of the rows than that.
 ACCURACY, MARGIN, FEW = 50_000, 1e-4, 100_000
@@ -43,40 +41,32 @@ def as_number_of(df: DataFrame, name: str, col: Column) -> Column:
     raise TypeError(f"{name} has no numeric order")
 
 
-def _text_number(col: Column, skip: int) -> Column:
-    """Increasing number for texts that agree in their first `skip` bytes: the next seven bytes."""
-    head = F.substring(F.encode(col, "UTF-8"), skip + 1, 7)
-    return F.conv(F.rpad(F.hex(head), 14, "0"), 16, 10).cast("bigint")
+def _marks(df: DataFrame, name: str, key: tuple[str, ...]) -> DataFrame:
+    """Sorted values of about one row in ROWS / OVER, taken by a hash of the row's key, at most about MARKS of them."""
+    n = df.agg(F.count("*")).scalar()
+    step = F.greatest(F.lit(ROWS // OVER), n / F.lit(MARKS)).cast("bigint")
+    taken = df.filter(F.col(name).isNotNull() & (F.pmod(F.xxhash64(*key), step) == 0))
+    return taken.agg(F.array_sort(F.collect_list(name)).alias("marks"))
 
 
-def _common_bytes(df: DataFrame, name: str) -> int:
-    """How many leading bytes the least and the greatest text share, and so all between them."""
-    ends = [(x or "").encode() for x in df.agg(F.min(name), F.max(name)).first()]
-    return len(os.path.commonprefix(ends))
+def with_value_block(df: DataFrame, name: str, key: tuple[str, ...] = ()) -> DataFrame:
+    """Add `_block`, a non-decreasing block number of a value of any type with an order; equal values share a block, null is in
+    the first.
 
-
-def with_value_block(df: DataFrame, name: str) -> DataFrame:
-    """Add `_block`, a non-decreasing block number of a value, from FAN * FAN - 1 boundaries at like row counts.
-
-    The boundaries are approximate quantiles of a number that grows with the value, taken in a job of their own, so
-    values crowded in a narrow band, surrogate keys or texts with a common start are spread like any others. Equal
-    values share a block. Rows should be reduced to distinct values first.
+    The boundaries are values of the column, every OVER-th of a sample that a hash of the row's `key` (default: the value)
+    draws, so they follow the data whatever its type, its band or its outliers, are the same in each run, and grow in number
+    with the rows: a block has about ROWS of them, or one in MARKS / OVER of all if that is more. They are part of the one lazy
+    plan, and the driver sees only the boundaries. A value is placed by binary search.
     """
-    if isinstance(df.schema[name].dataType, T.StringType):
-        number = _text_number(F.col(name), _common_bytes(df, name))
-    else:
-        number = as_number(df, name).cast("double")
-    at = [i / (FAN * FAN) for i in range(1, FAN * FAN)]
-    cuts = df.agg(F.percentile_approx(number, at, 20 * FAN * FAN)).first()[0] if at else []
-    cuts = sorted(set(cuts or []))
-    # two levels: every FAN-th boundary, then those between two of them
-    coarse, fine = cuts[FAN - 1 :: FAN], [cuts[i : i + FAN - 1] for i in range(0, len(cuts) + 1, FAN)]
-    kind = "bigint" if isinstance(df.schema[name].dataType, T.StringType) else "double"
-    array = lambda xs: F.array(*map(F.lit, xs)).cast(f"array<{kind}>")
-    below = lambda xs: F.size(F.filter(xs, lambda b: b < F.col("_number")))
-    placed = df.withColumn("_number", number).withColumn("_top", below(array(coarse)))
-    block = F.col("_top") * FAN + below(F.get(F.array(*map(array, fine)), F.col("_top")))
-    return placed.withColumn("_block", block.cast("bigint")).drop("_number", "_top")
+    marks = _marks(df, name, tuple(key) or (name,))
+    cuts = marks.select(F.array_distinct(F.filter("marks", lambda _, i: (i + 1) % OVER == 0)).alias("at"))
+    # powers of two up to the number of boundaries, the largest first
+    powers = F.filter(F.array(*[F.lit(1 << i) for i in reversed(range(31))]), lambda p: p <= F.size("at"))
+    cuts = cuts.select(F.struct("at", powers.alias("powers"))).scalar()
+    placed = df.withColumn("_cuts", cuts)
+    passed = lambda at, p: F.coalesce(F.get("_cuts.at", at + p - 1) < F.col(name), F.lit(False))
+    block = F.aggregate("_cuts.powers", F.lit(0), lambda at, p: F.when(passed(at, p), at + p).otherwise(at))
+    return placed.withColumn("_block", block.cast("bigint")).drop("_cuts")
 
 
 def _join_blocks(rows: DataFrame, blocks: DataFrame, by: tuple[str, ...]) -> DataFrame:
@@ -91,7 +81,7 @@ def running_total(
     """Add `running` (cumulative weight, equal order values share one step) and `grand_total`."""
     by = tuple(by)
     steps = df.groupBy(*by, order).agg(F.sum(weight).alias("_step"))
-    steps = with_value_block(steps, order)
+    steps = with_value_block(steps, order, (*by, order))
     block_key = F.col("_block").desc() if descending else F.col("_block")
     value_key = F.col(order).desc() if descending else F.col(order)
     upto = Window.partitionBy(*by).orderBy(block_key).rowsBetween(Window.unboundedPreceding, 0)
@@ -163,14 +153,14 @@ def distribution(
 
 def interpolate(df: DataFrame, column: str, order: str | tuple[str, ...], by: tuple[str, ...] = ()) -> DataFrame:
     """Fill missing values linearly by row position along `order`, which must be unique per group: give as many columns
-    as that takes, the first a number, date or time.
+    as that takes.
 
     Leading gaps stay null; trailing gaps take the last known value. Null order values come first.
     """
     by, order = tuple(by), (order,) if isinstance(order, str) else tuple(order)
     start, here = Window.unboundedPreceding, Window.currentRow
     number = present(df, column).cast("double")
-    blocked = with_value_block(df, order[0]).withColumn("_value", number)
+    blocked = with_value_block(df, order[0], (*by, *order)).withColumn("_value", number)
     blocked = blocked.withColumn("_block", F.when(F.col(order[0]).isNull(), -1).otherwise(F.col("_block")))
     up = Window.partitionBy(*by, "_block").orderBy(*order)
     known = F.when(F.col("_value").isNotNull(), F.struct(F.col("_pos").alias("p"), F.col("_value").alias("v")))
