@@ -1,10 +1,13 @@
 """Date dimension."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.constants import CALENDAR_COMMENTS, CALENDAR_END, CALENDAR_START
 from tillroll.functions import dates as D
+from tillroll.operators.quality import null_counts
 
 
 def date_columns(d: Column) -> list[Column]:
@@ -47,6 +50,13 @@ def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
     return df
 
 
+def data_dictionary(df: DataFrame) -> DataFrame:
+    """Per column: column_name, data_type, missing values, and the comment that its schema carries (null if none)."""
+    texts = {f.name: f.metadata.get("comment") for f in df.schema.fields}
+    comment = reduce(lambda col, c: col.when(F.col("column_name") == c, F.lit(texts[c])), texts, F.when(F.lit(False), ""))
+    return null_counts(df).withColumn("comment", comment)
+
+
 def date_dim(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:
     """One row per day from start to end, both included."""
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")

@@ -101,6 +101,47 @@ def running_total(
     return join_keys(df, steps, (*by, order))
 
 
+def _windows(quantiles: dict[str, float]) -> list[tuple[float, float]]:
+    return [(max(0.0, p - MARGIN), min(1.0, p + MARGIN)) for p in quantiles.values()]
+
+
+def _cut_shares(quantiles: dict[str, float]) -> list[float]:
+    """Ends of the windows around the quantiles, as shares of the rows."""
+    return sorted({end for window in _windows(quantiles) for end in window})
+
+
+def _slot(x: Column, n: Column, cuts: Column, quantiles: dict[str, float]) -> tuple[Column, Column]:
+    """Whether a value is counted by itself, and the gap between two ends that it lies in."""
+    cut = {c: F.get(cuts, k) for k, c in enumerate(_cut_shares(quantiles))}
+    inside = reduce(lambda a, b: a | b, [x.between(cut[low], cut[high]) for low, high in _windows(quantiles)])
+    between = reduce(lambda a, b: a + b, [F.when(c < x, 1).otherwise(0) for c in cut.values()])
+    return (n <= FEW) | inside, between
+
+
+def _picked(slots: DataFrame, value: str, quantiles: dict[str, float], by: tuple[str, ...]) -> DataFrame:
+    """Per group the values at the two ranks next to each quantile, from counts `_n` of values from `_low` to `_high`."""
+    upto = Window.partitionBy(*by).orderBy("_low").rowsBetween(Window.unboundedPreceding, 0)
+    slots = slots.withColumn("_end", F.sum("_n").over(upto)).withColumn("_start", F.col("_end") - F.col("_n"))
+    missed = F.raise_error(f"the sketch of {value} is off its bound").cast("double")
+    number = F.when(F.col("_low") == F.col("_high"), F.col("_low").cast("double")).otherwise(missed)
+    picks = []
+    for name, p in quantiles.items():
+        at = (F.col("_known") - 1) * F.lit(float(p))
+        for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            here = (F.col("_start") <= rank) & (rank < F.col("_end"))
+            picks.append(F.max(F.when(here, number)).alias(f"_{side}_{name}"))
+    return slots.groupBy(*by).agg(*picks)
+
+
+def _between_picks(quantiles: dict[str, float], n: Column, digits: int) -> list[Column]:
+    columns = []
+    for name, p in quantiles.items():
+        at = (n - 1) * F.lit(float(p))
+        step = F.col(f"_hi_{name}") - F.col(f"_lo_{name}")
+        columns.append(rounded(F.col(f"_lo_{name}") + step * (at - F.floor(at)), digits).alias(name))
+    return columns
+
+
 def distribution(
     df: DataFrame, value: str, quantiles: dict[str, float], by: tuple[str, ...] = (), digits: int = 4
 ) -> DataFrame:
@@ -114,8 +155,7 @@ def distribution(
     """
     by = tuple(by)
     rows = df.select(*by, present(df, value).alias("_v")).withColumn("_x", as_number_of(df, value, F.col("_v")).cast("double"))
-    windows = {name: (max(0.0, p - MARGIN), min(1.0, p + MARGIN)) for name, p in quantiles.items()}
-    cuts = sorted({c for pair in windows.values() for c in pair})
+    cuts = _cut_shares(quantiles)
     whole = isinstance(df.schema[value].dataType, T.IntegralType)
     stats = rows.groupBy(*by).agg(
         F.count("_v").alias("n"), F.count("*").alias("n_rows"), F.sum(F.col("_v").cast("decimal(20,0)") if whole else "_v").alias("total"), F.min("_v").alias("min_value"),
@@ -124,33 +164,47 @@ def distribution(
     # the groups' sketches are a small table, broadcast if its measured size allows; without groups they are one row
     with_stats = lambda part: join_keys(part, stats, by) if by else part.withColumn("_s", stats.scalar())
     rows = with_stats(rows)
-    cut = {c: F.get("_s.cuts", k) for k, c in enumerate(cuts)}
-    inside = reduce(lambda a, b: a | b, [F.col("_x").between(cut[low], cut[high]) for low, high in windows.values()])
-    alone = F.col("_v").isNotNull() & ((F.col("_s.n") <= FEW) | inside)
-    between = reduce(lambda a, b: a + b, [F.when(c < F.col("_x"), 1).otherwise(0) for c in cut.values()])
+    alone, between = _slot(F.col("_x"), F.col("_s.n"), F.col("_s.cuts"), quantiles)
+    alone = F.col("_v").isNotNull() & alone
     slots = rows.groupBy(*by, between.alias("_slot"), F.when(alone, F.col("_v")).alias("_at")).agg(
         F.count("_v").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.max("_s.n").alias("_known")
     )
-    upto = Window.partitionBy(*by).orderBy("_low").rowsBetween(Window.unboundedPreceding, 0)
-    slots = slots.withColumn("_end", F.sum("_n").over(upto)).withColumn("_start", F.col("_end") - F.col("_n"))
-    missed = F.raise_error(f"the sketch of {value} is off its bound").cast("double")
-    number = F.when(F.col("_low") == F.col("_high"), F.col("_low").cast("double")).otherwise(missed)
-    picks = []
-    for name, p in quantiles.items():
-        at = (F.col("_known") - 1) * F.lit(float(p))
-        for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            here = (F.col("_start") <= rank) & (rank < F.col("_end"))
-            picks.append(F.max(F.when(here, number)).alias(f"_{side}_{name}"))
-    found = with_stats(slots.groupBy(*by).agg(*picks))
-    columns = []
-    for name, p in quantiles.items():
-        at = (F.col("_s.n") - 1) * F.lit(float(p))
-        step = F.col(f"_hi_{name}") - F.col(f"_lo_{name}")
-        columns.append(rounded(F.col(f"_lo_{name}") + step * (at - F.floor(at)), digits).alias(name))
+    found = with_stats(_picked(slots, value, quantiles, by))
+    columns = _between_picks(quantiles, F.col("_s.n"), digits)
     counts = [F.coalesce(f"_s.{c}", F.lit(0)).alias(c) for c in ("n", "n_rows")]
     return found.select(*by, *counts, "_s.total", "_s.min_value", "_s.max_value", *columns)
 
 
+def distributions(df: DataFrame, columns: list[str], quantiles: dict[str, float], digits: int = 4) -> DataFrame:
+    """One row per column: column_name, n (known values), mean, std, min_value, max_value and exact quantiles, in double.
+
+    One aggregate over the table keeps what `distribution` keeps of each column; a second pass turns each value into its gap,
+    or into itself inside a window, and combines those before they move, so that no row of the table is shuffled, whatever
+    the number of its columns. A column without known values, or an empty table, has n = 0.
+    """
+    x = [as_number_of(df, c, present(df, c)).cast("double") for c in columns]
+    aggregates = lambda c: F.struct(
+        F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min_value"), F.max(c).alias("max_value"),
+        F.percentile_approx(c, _cut_shares(quantiles), ACCURACY).alias("cuts"),
+    )
+    stats = df.agg(F.array(*map(aggregates, x)).alias("_all"))
+    rows = df.withColumns({f"_x{i}": c for i, c in enumerate(x)}).select(*[f"_x{i}" for i in range(len(x))], stats.scalar().alias("_all"))
+    cells = []
+    for i in range(len(x)):
+        value, of = F.col(f"_x{i}"), F.get("_all", F.lit(i))
+        alone, between = _slot(value, of["n"], of["cuts"], quantiles)
+        cells.append(F.struct(F.lit(i).alias("_i"), between.alias("_slot"), F.when(alone, value).alias("_at"), value.alias("_v"), of["n"].alias("_all_n")))
+    slots = rows.select(F.inline(F.array(*cells))).filter("_v is not null").groupBy("_i", "_slot", "_at").agg(
+        F.count("*").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.max("_all_n").alias("_known")
+    )
+    found = _picked(slots, "a column", quantiles, ("_i",))
+    names = F.element_at(F.array(*map(F.lit, columns)), F.col("_i") + 1)
+    each = stats.select(F.posexplode("_all").alias("_i", "_s")).withColumn("column_name", names)
+    return each.join(found, "_i", "left").select(
+        "column_name", "_s.n", "_s.mean", "_s.std", "_s.min_value", "_s.max_value", *_between_picks(quantiles, F.col("_s.n"), digits)
+    )
+
+
 def interpolate(df: DataFrame, column: str, order: str | tuple[str, ...], by: tuple[str, ...] = ()) -> DataFrame:
     """Fill missing values linearly by row position along `order`, which must be unique per group: give as many columns
     as that takes.

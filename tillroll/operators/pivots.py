@@ -11,9 +11,22 @@ from tillroll.functions.numbers import rounded, safe_div
 OTHER = "other"
 
 
+#: Values that may become columns of a plan.
+MOST_COLUMNS = 10_000
+
+
+def listed(values: DataFrame, too_many: str) -> list:
+    """The rows of a one-column frame as a list, for use as columns; more than MOST_COLUMNS are an error."""
+    found = [r[0] for r in values.limit(MOST_COLUMNS + 1).collect()]
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(too_many)
+    return found
+
+
 def distinct_values(df: DataFrame, column: str) -> list:
     """Sorted distinct non-null values, which become columns."""
-    return sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().collect())
+    values = df.select(column).filter(F.col(column).isNotNull()).distinct()
+    return sorted(listed(values, f"{column} has too many values for columns: declare some, with `other` for the rest"))
 
 
 def pivot_table(

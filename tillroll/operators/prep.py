@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tillroll.functions.numbers import clamp, present, safe_div
 from tillroll.operators.ordered import distribution, interpolate, running_total
+from tillroll.operators.pivots import listed
 
 
 def mode_of(df: DataFrame, column: str) -> DataFrame:
@@ -94,11 +95,11 @@ def handle_outliers(df: DataFrame, column: str, threshold: float = 1.5) -> DataF
 
 
 def fit_onehot(df: DataFrame, columns: list[str]) -> dict[str, list]:
-    """Sorted categories per column, None last where a value is missing. They become columns; for a column with
-    very many categories `onehot_index` does not grow any."""
+    """Sorted categories per column, None last where a value is missing. They become columns, so a column with more than
+    MOST_COLUMNS of them is an error; `onehot_index` and `onehot_sparse` take any number."""
     found = {}
     for c in columns:
-        values = [r[0] for r in df.select(present(df, c).alias(c)).distinct().collect()]
+        values = listed(df.select(present(df, c).alias(c)).distinct(), f"{c} has too many categories for columns: use onehot_sparse")
         found[c] = sorted(v for v in values if v is not None) + [None] * (None in values)
     return found
 
@@ -156,10 +157,28 @@ def onehot_index(df: DataFrame, column: str, fit_on: DataFrame | None = None) ->
     return coded.withColumn(column, F.when(present(df, column).isNull(), last).otherwise(F.col("code"))).select(*names)
 
 
+def onehot_sparse(df: DataFrame, columns: list[str], fit_on: DataFrame | None = None, name: str = "features") -> DataFrame:
+    """One-hot of several columns as one sparse vector: they are replaced by `name`, an array of (index, value) in order of
+    index, with the categories of the first column first. A missing or unseen value has no entry. Nothing is listed on the
+    driver, so the number of categories is not bounded."""
+    learned = df if fit_on is None else fit_on
+    before, entries = F.lit(0).cast("bigint"), []
+    kept = [c for c in df.columns if c not in columns]
+    coded = df
+    for i, column in enumerate(columns):
+        dictionary = fit_ordinal(learned, column)
+        coded = coded.join(dictionary.select(F.col("category").alias(column), F.col("code").alias(f"_code{i}")), column, "left")
+        place = F.when(present(df, column).isNotNull(), F.col(f"_code{i}"))
+        entries.append(F.when(place.isNotNull(), F.struct((before + place).alias("index"), F.lit(1.0).alias("value"))))
+        before = before + dictionary.agg(F.count("*")).scalar()
+    return coded.select(*kept, F.array_compact(F.array(*entries)).alias(name))
+
+
 def encode_categorical(
     df: DataFrame, columns: list[str], method: str = "onehot", fit_on: DataFrame | None = None, handle_unknown: str = "ignore"
 ) -> DataFrame:
-    """onehot: a column per category; onehot_index: one column with the category's place; ordinal: its code."""
+    """onehot: a column per category; onehot_index: one column with the category's place; onehot_sparse: one vector of all
+    columns; ordinal: a column with the category's code."""
     learned = df if fit_on is None else fit_on
     if method == "onehot":
         return apply_onehot(df, fit_onehot(learned, columns), handle_unknown)
@@ -167,6 +186,8 @@ def encode_categorical(
         for column in columns:
             df = onehot_index(df, column, learned)
         return df
+    if method == "onehot_sparse":
+        return onehot_sparse(df, columns, learned)
     if method == "ordinal":
         for column in columns:
             df = apply_ordinal(df, column, fit_ordinal(learned, column), handle_unknown)
@@ -190,14 +211,19 @@ def standard_scale(df: DataFrame, columns: list[str], fit_on: DataFrame | None =
     return scaled.withColumns(values).drop("_fit")
 
 
-def preprocess(df: DataFrame, num_cols: list[str], cat_cols: list[str], fit_on: DataFrame | None = None) -> DataFrame:
-    """Numbers: mean fill, then scale. Categories: most frequent fill, then one-hot."""
+def preprocess(
+    df: DataFrame, num_cols: list[str], cat_cols: list[str], fit_on: DataFrame | None = None, sparse: bool = False
+) -> DataFrame:
+    """Numbers: mean fill, then scale. Categories: most frequent fill, then one-hot; `sparse` gives one vector `features`
+    instead of a column per category."""
     learned = df if fit_on is None else fit_on
     filled = handle_missing(df, "mean", num_cols, fit_on=learned)
     filled = handle_missing(filled, "most_frequent", cat_cols, fit_on=learned)
     learned_filled = handle_missing(learned, "mean", num_cols)
     scaled = standard_scale(filled, num_cols, fit_on=learned_filled)
     # filling with the mode adds no category and leaves none missing
+    if sparse:
+        return onehot_sparse(scaled, cat_cols, fit_on=learned)
     known = {c: [v for v in values if v is not None] for c, values in fit_onehot(learned, cat_cols).items()}
     return apply_onehot(scaled, known)
 

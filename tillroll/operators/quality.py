@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from tillroll.constants import DAY_PARTS
 from tillroll.functions.numbers import present, ratio, rounded
 from tillroll.operators.joins import join_keys
-from tillroll.operators.ordered import distribution
+from tillroll.operators.ordered import distribution, distributions
 from tillroll.operators.receipts import KEY, TOTAL, dedup, items_per_receipt, line_count, receipts
 
 
@@ -21,13 +21,26 @@ def null_counts(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*entries)))
 
 
+def row_digest(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of a row, the second also of which columns are null."""
+    whole = [F.col(f"`{c}`") for c in df.columns]
+    return [F.xxhash64(*whole), F.xxhash64(*[c.isNull() for c in whole], *whole)]
+
+
 def row_counts(df: DataFrame) -> DataFrame:
-    """row_count, duplicates (rows beyond the first of each identical set) and column_count."""
-    groups = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
-    return groups.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"),
-    ).withColumn("column_count", F.lit(len(df.columns)))
+    """row_count, duplicates (rows beyond the first of each identical set) and column_count.
+
+    Rows are counted by a digest of 16 bytes, combined before they move. Only rows whose digest occurs again are compared as
+    a whole, so the result is exact, also where different rows share a digest.
+    """
+    first, second = row_digest(df)
+    marked = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), first.alias("_d1"), second.alias("_d2"))
+    digests = marked.groupBy("_d1", "_d2").agg(F.count("*").alias("_n"))
+    again = digests.filter("_n > 1").select("_d1", "_d2")
+    groups = marked.join(again, ["_d1", "_d2"], "left_semi").groupBy("_d1", "_d2", "_row").agg(F.count("*").alias("_n"))
+    duplicates = groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"))
+    counted = digests.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"))
+    return counted.select("row_count", duplicates.scalar().alias("duplicates"), F.lit(len(df.columns)).alias("column_count"))
 
 
 def validate(df: DataFrame) -> DataFrame:
@@ -45,21 +58,11 @@ def string_columns(df: DataFrame) -> list[str]:
 
 
 def describe_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """count, mean, std, min, exact quartiles and max per numeric column."""
-    columns = columns or numeric_columns(df)
-    long = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), present(df, c).cast("double").alias("v")) for c in columns]))
-    )
-    spread = long.groupBy("column_name").agg(
-        F.count("v").alias("count"), rounded(F.avg("v"), 4).alias("mean"), rounded(F.stddev_samp("v"), 4).alias("std")
-    )
-    quartiles = distribution(long, "v", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, by=("column_name",))
-    return spread.join(
-        quartiles.select(
-            "column_name", F.col("min_value").alias("min"), "q25", "q50", "q75", F.col("max_value").alias("max")
-        ),
-        "column_name",
-        "left",
+    """count, mean, std, min, exact quartiles and max per numeric column; no known value: count 0 and nulls."""
+    profile = distributions(df, columns or numeric_columns(df), {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    return profile.select(
+        "column_name", F.col("n").alias("count"), rounded(F.col("mean"), 4).alias("mean"), rounded(F.col("std"), 4).alias("std"),
+        F.col("min_value").alias("min"), "q25", "q50", "q75", F.col("max_value").alias("max"),
     )
 
 

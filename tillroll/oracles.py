@@ -5,7 +5,7 @@ side: DISTINCT ON, windows over raw rows, quantile_cont, correlated lookups.
 """
 
 from tillroll.constants import (
-    REVENUE_SEGMENTS, SERVICE_LEVELS, SKEW_NORMAL, SKEW_WARNING,
+    CALENDAR_COMMENTS, REVENUE_SEGMENTS, SERVICE_LEVELS, SKEW_NORMAL, SKEW_WARNING,
     STOCK_OK, STOCK_SHORTAGE, STOCK_SURPLUS, WEEKDAY_SEGMENTS, Z_BY_SERVICE_LEVEL,
 )
 
@@ -143,6 +143,10 @@ def _receipt_queries() -> dict[str, str]:
             SELECT tx AS transaction_id, {_dbl('MAX(total)')} AS check_amount, COUNT(*) AS items_count,
                    STRING_AGG(item, ', ' ORDER BY item) AS items_list, {_day('MIN(d)')} AS sale_date, MIN(part) AS time_of_day,
                    {_round('MIN(hi)', 0)} AS upper_bound FROM s, f WHERE total > hi GROUP BY tx""",
+        "outlier_receipt_items": f"""{events}, f AS (SELECT {fence} AS hi FROM t),
+            n AS (SELECT tx, item, ROW_NUMBER() OVER (PARTITION BY tx ORDER BY item) - 1 AS place FROM s, f WHERE total > hi AND item IS NOT NULL)
+            SELECT tx AS transaction_id, place // 3 AS piece, COUNT(*) AS items_count, STRING_AGG(item, ', ' ORDER BY item) AS items_list
+            FROM n GROUP BY ALL""",
         "menu_engineering": f"""{brand} SELECT item AS coffee_name, {_dbl('SUM(price)')} AS revenue, COUNT(*) AS quantity,
             COUNT(DISTINCT tx) AS transactions FROM s GROUP BY 1 ORDER BY SUM(price) DESC, 1 LIMIT 10""",
         "check_skew_note": f"{base}, {skew}",
@@ -484,6 +488,10 @@ def _prep_queries() -> dict[str, str]:
         c AS (SELECT day, total, part, base + CASE WHEN k <= rest THEN 1 ELSE 0 END AS cnt FROM f)"""
     segment = "SELECT c_custkey, CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_mktsegment END AS seg FROM customer"
     fence = "quantile_cont(CAST(value AS DECIMAL(18,2))::DOUBLE, {a}) {sign} 1.5 * (quantile_cont(CAST(value AS DECIMAL(18,2))::DOUBLE, 0.75) - quantile_cont(CAST(value AS DECIMAL(18,2))::DOUBLE, 0.25))"
+    calendar_types = {
+        "date_key": "int", "date": "date", "day_name": "string", "is_weekend": "boolean", "fiscal_year": "int", "n_orders": "bigint"
+    }
+    comment = lambda c: f"'{CALENDAR_COMMENTS[c]}'" if c in CALENDAR_COMMENTS else "NULL"
     calendar = f"""WITH n AS (SELECT CAST(o_orderdate AS DATE) AS d, COUNT(*) AS n FROM orders GROUP BY 1),
         c AS (SELECT CAST(unnest(generate_series(MIN(d), MAX(d), INTERVAL 1 DAY)) AS DATE) AS d FROM n)
         SELECT {_day('d')} AS date, CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key, day(d) AS day_of_month, dayofyear(d) AS day_of_year,
@@ -528,6 +536,11 @@ def _prep_queries() -> dict[str, str]:
             SELECT i AS bin, {_round('lo + (hi - lo) * i / 20', 4)} AS bin_start, {_round('lo + (hi - lo) * (i + 1) / 20', 4)} AS bin_end, COALESCE(n, 0) AS n
             FROM (SELECT unnest(range(20)) AS i), b LEFT JOIN c ON c.bin = i""",
         "order_calendar": calendar,
+        "calendar_dictionary": f"""WITH n AS (SELECT CAST(o_orderdate AS DATE) AS d, COUNT(*) AS n FROM orders GROUP BY 1),
+                c AS (SELECT CAST(unnest(generate_series(MIN(d), MAX(d), INTERVAL 1 DAY)) AS DATE) AS d FROM n),
+                m AS (SELECT COUNT(*) - COUNT(n) AS gaps FROM c LEFT JOIN n USING (d))
+            SELECT column_name, data_type, CASE WHEN column_name = 'n_orders' THEN gaps ELSE 0 END AS missing, comment
+            FROM m, (VALUES {', '.join(f"('{c}', '{t}', {comment(c)})" for c, t in calendar_types.items())}) v(column_name, data_type, comment)""",
         "attach_price": f"""SELECT p_type AS coffee_name, MAX(CASE WHEN p_type <> 'PROMO' THEN {_dbl('price')} END) AS standard_price, SUM(n)::BIGINT AS n
             FROM (SELECT p_type, MAX(CAST(p_retailprice AS DECIMAL(18,2))) OVER (PARTITION BY p_type) AS price,
                          (SELECT COUNT(*) FROM lineitem WHERE l_partkey = p_partkey) AS n FROM part) x GROUP BY 1 HAVING SUM(n) > 0""",
@@ -540,6 +553,11 @@ def _prep_queries() -> dict[str, str]:
         "encode_onehot_null": f"WITH x AS ({segment}) SELECT c_custkey, {segment_flags}, CASE WHEN seg IS NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS \"segment_None\" FROM x",
         "encode_onehot_index": f"""WITH x AS ({segment}), k AS (SELECT seg, ROW_NUMBER() OVER (ORDER BY seg) - 1 AS code FROM (SELECT DISTINCT seg FROM x WHERE seg IS NOT NULL))
             SELECT c_custkey, COALESCE(code, (SELECT COUNT(*) FROM k)) AS segment FROM x LEFT JOIN k USING (seg)""",
+        "encode_onehot_sparse": """WITH x AS (SELECT * FROM part WHERE p_type <> 'PROMO'),
+            b AS (SELECT p_brand, ROW_NUMBER() OVER (ORDER BY p_brand) - 1 AS code FROM (SELECT DISTINCT p_brand FROM x WHERE p_brand IS NOT NULL)),
+            t AS (SELECT p_type, ROW_NUMBER() OVER (ORDER BY p_type) - 1 AS code FROM (SELECT DISTINCT p_type FROM x WHERE p_type IS NOT NULL))
+            SELECT p_partkey, code AS "index", 1.0::DOUBLE AS "value" FROM part JOIN b USING (p_brand) UNION ALL
+            SELECT p_partkey, (SELECT COUNT(*) FROM b) + code, 1.0::DOUBLE FROM part JOIN t USING (p_type)""",
         "encode_ordinal_null": f"""WITH x AS ({segment}), k AS (SELECT seg, ROW_NUMBER() OVER (ORDER BY seg) - 1 AS code FROM (SELECT DISTINCT seg FROM x WHERE seg IS NOT NULL))
             SELECT c_custkey, code AS segment FROM x LEFT JOIN k USING (seg)""",
         "date_dim_default": """WITH c AS (SELECT CAST(unnest(generate_series(DATE '1770-01-01', DATE '2030-12-31', INTERVAL 1 DAY)) AS DATE) AS d),

@@ -157,35 +157,59 @@ def check_distribution(lines: DataFrame, k: float = 1.5) -> DataFrame:
     )
 
 
-def outlier_receipts(lines: DataFrame, k: float = 1.5, heads: DataFrame | None = None) -> DataFrame:
-    """Consistent receipts above the upper fence, with their items.
-
-    Only receipts above the fence get a list, and it is built from (item, count) pairs.
-    `heads` gives the same sales already reduced to receipts, if at hand.
-    """
+def _outlier_pairs(lines: DataFrame, k: float, heads: DataFrame | None) -> DataFrame:
+    """(receipt, item) of consistent receipts above the upper fence, with the item's count `_n`."""
     heads = lines if heads is None else heads
     fence = check_distribution(heads, k).select("upper_bound").scalar()
     checks = consistent_receipts(heads).withColumn("_fence", fence)
     above = checks.filter(F.col(TOTAL).cast("double") > F.col("_fence")).select(KEY, "_fence")
-    pairs = join_keys(lines, above, (KEY,)).groupBy(KEY, "coffee_name").agg(
+    return join_keys(lines, above, (KEY,)).groupBy(KEY, "coffee_name").agg(
         F.max(TOTAL).alias("_total"),
-        F.count("*").cast("int").alias("_n"),
+        F.count("*").alias("_n"),
         F.min("sale_date").alias("_date"),
         smallest_label(F.col("time_of_day"), DAY_PARTS).alias("_part"),
         F.max("_fence").alias("_fence"),
     )
-    items = F.array_sort(F.collect_list(F.struct("coffee_name", "_n")))
-    texts = F.transform(items, lambda i: F.array_join(F.array_repeat(i["coffee_name"], i["_n"]), ", "))
-    return pairs.groupBy(KEY).agg(
+
+
+def _item_texts(count: str) -> Column:
+    """Aggregate: the items' names, each as often as it occurs, in order."""
+    items = F.array_sort(F.collect_list(F.struct("coffee_name", F.col(count).cast("int").alias("n"))))
+    return F.array_join(F.transform(items, lambda i: F.array_join(F.array_repeat(i["coffee_name"], i["n"]), ", ")), ", ")
+
+
+def outlier_receipts(lines: DataFrame, k: float = 1.5, heads: DataFrame | None = None) -> DataFrame:
+    """Consistent receipts above the upper fence, with their items.
+
+    Only receipts above the fence get a list, and it is built from (item, count) pairs. It is one text a receipt;
+    `outlier_receipt_items` gives the same lists in pieces. `heads` gives the same sales already reduced to receipts, if at hand.
+    """
+    return _outlier_pairs(lines, k, heads).groupBy(KEY).agg(
         F.max("_total").alias("check_amount"),
         F.sum("_n").alias("items_count"),
-        F.array_join(texts, ", ").alias("items_list"),
+        _item_texts("_n").alias("items_list"),
         F.min("_date").alias("sale_date"),
         smallest_label(F.col("_part"), DAY_PARTS).alias("time_of_day"),
         rounded(F.max("_fence"), 0).alias("upper_bound"),
     ).orderBy(F.desc("check_amount"), F.asc(KEY))
 
 
+def outlier_receipt_items(lines: DataFrame, k: float = 1.5, heads: DataFrame | None = None, per_piece: int = 1000) -> DataFrame:
+    """The items of receipts above the upper fence in numbered pieces of `per_piece` items, in order of name: transaction_id,
+    piece (from 0), items_count, items_list. Lines without a name fill no piece, as they are in no list.
+
+    No text, list or group is longer than a piece, however many lines a receipt has.
+    """
+    upto = Window.partitionBy(KEY).orderBy("coffee_name").rowsBetween(Window.unboundedPreceding, 0)
+    named = _outlier_pairs(lines, k, heads).filter(F.col("coffee_name").isNotNull()).select(KEY, "coffee_name", "_n")
+    spans = named.withColumn("_end", F.sum("_n").over(upto)).withColumn("_start", F.col("_end") - F.col("_n"))
+    first, last = F.expr(f"_start div {per_piece}"), F.expr(f"(_end - 1) div {per_piece}")
+    parts = spans.withColumn("piece", F.explode(F.sequence(first, last)))
+    low, high = F.greatest("_start", F.col("piece") * per_piece), F.least("_end", (F.col("piece") + 1) * per_piece)
+    parts = parts.select(KEY, "piece", "coffee_name", (high - low).alias("_part_n"))
+    return parts.groupBy(KEY, "piece").agg(F.sum("_part_n").alias("items_count"), _item_texts("_part_n").alias("items_list"))
+
+
 def menu_engineering(lines: DataFrame, n: int = 10) -> DataFrame:
     """Revenue, quantity and receipts per product.
 

@@ -100,6 +100,11 @@ def _outliers(spark, folder):
     return sales.outlier_receipts(views.event_sales(spark, folder), heads=views.event_receipts(spark, folder))
 
 
+def _outlier_items(spark, folder):
+    heads = views.event_receipts(spark, folder)
+    return sales.outlier_receipt_items(views.event_sales(spark, folder), heads=heads, per_piece=3)
+
+
 def _price_histogram(spark, folder):
     prices = views.table(spark, folder, "lineitem").select(F.col("l_extendedprice").cast(MONEY).alias("drink_price"))
     return pivots.histogram(prices, "drink_price")
@@ -259,6 +264,14 @@ def _order_calendar(spark, folder):
     return calendar.calendar_for(orders, "date").join(days, "date", "left").fillna(0, ["n_orders"])
 
 
+def _calendar_dictionary(spark, folder):
+    """Columns of the order calendar with their comments; days without orders have no count."""
+    orders = views.table(spark, folder, "orders").select(F.col("o_orderdate").cast("date").alias("date"))
+    days = orders.groupBy("date").agg(F.count("*").alias("n_orders"))
+    known = calendar.calendar_for(orders, "date").join(days, "date", "left")
+    return calendar.data_dictionary(known.select("date_key", "date", "day_name", "is_weekend", "fiscal_year", "n_orders"))
+
+
 def _priced(spark, folder):
     """Lines per product type with its list price; promotional goods have none."""
     part = views.table(spark, folder, "part")
@@ -336,6 +349,13 @@ def _onehot_index(spark, folder):
     return prep.encode_categorical(_segments(spark, folder), ["segment"], "onehot_index")
 
 
+def _onehot_sparse(spark, folder):
+    """Brand and type of each part as one vector, fitted without promotional goods; one row an entry."""
+    part = views.table(spark, folder, "part").select("p_partkey", "p_brand", "p_type")
+    coded = prep.encode_categorical(part, ["p_brand", "p_type"], "onehot_sparse", fit_on=part.filter("p_type != 'PROMO'"))
+    return coded.select("p_partkey", F.inline("features"))
+
+
 def _ordinal_null(spark, folder):
     return prep.encode_categorical(_segments(spark, folder), ["segment"], "ordinal")
 
@@ -421,6 +441,7 @@ def _queries() -> dict[str, Query]:
         "top_customers": _on_receipts(sales.top_customers),
         "check_distribution": _on_receipts(sales.check_distribution),
         "outlier_receipts": _outliers,
+        "outlier_receipt_items": _outlier_items,
         "menu_engineering": _on_drinks(sales.menu_engineering, "p_brand"),
         "check_skew_note": _on_receipts(sales.check_skew_note),
         "check_skew_note_events": _on_event_receipts(sales.check_skew_note),
@@ -526,6 +547,7 @@ def _queries() -> dict[str, Query]:
         "encode_ordinal_unseen": _ordinal_unseen,
         "encode_onehot_null": _onehot_null,
         "encode_onehot_index": _onehot_index,
+        "encode_onehot_sparse": _onehot_sparse,
         "encode_ordinal_null": _ordinal_null,
         "standard_scale": _scaled,
         "preprocess_pipeline": _preprocess,
@@ -533,6 +555,7 @@ def _queries() -> dict[str, Query]:
         "line_fit": _line_fit,
         "price_histogram": _price_histogram,
         "order_calendar": _order_calendar,
+        "calendar_dictionary": _calendar_dictionary,
         "date_dim_default": _date_dim,
         "attach_price": _priced,
         "price_bands": _price_bands,
