@@ -119,6 +119,12 @@ def test_rows_of_a_hot_key_are_split_when_joined_to_their_aggregate(spark, no_br
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+@pytest.mark.parametrize("name", ["dedup_first_row", "dedup_last_row", "dedup_first_value", "audit_methods_agree"])
+def test_first_and_last_rows_are_hash_aggregates(spark, folder, name):
+    plan = plan_of(QUERIES[name](spark, folder))
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
 def test_row_number_dedup_is_limited_before_the_shuffle(spark, folder):
     lines = views.order_lines_raw(spark, folder)
     plan = plan_of(dedup(lines, "row_number", order=("sale_date",)))

@@ -2,12 +2,15 @@
 
 A receipt's total is repeated on each of its lines, so money and traffic are computed
 after reducing lines to receipts. All variants are group-bys with map-side combine,
-except `row_number`, which Spark limits per partition before the shuffle.
+except `row_number`, which Spark limits per partition before the shuffle. First and last rows of numbers, dates, times and
+money are least and greatest numbers, so they are hash aggregates; other types are sorted.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.functions.packing import packed, unpacked
+
 KEY = "transaction_id"
 TOTAL = "total_cost"
 
@@ -43,7 +46,7 @@ def dedup(
     first_row    the first line by `order`, ties by the columns themselves
     last_row     the last line by `order`
     row_number   the last line by `order` through ROW_NUMBER() = 1
-    first_value  per column, the first non-null value by `order`
+    first_value  per column, the first non-null value by `order`, the least of ties
     consistent   ids with one total only
     """
     if how == "max":
@@ -59,6 +62,11 @@ def dedup(
     sort = F.struct(*order)
     if how in ("first_row", "last_row"):
         pick = F.min if how == "first_row" else F.max
+        fields = list(dict.fromkeys((*order, *columns)))
+        numbers = packed(lines, fields)
+        if numbers:
+            found = lines.groupBy(KEY).agg(*[pick(numbers[fields.index(c)]).alias(c) for c in columns])
+            return found.select(KEY, *[unpacked(F.col(c), lines.schema[c].dataType).alias(c) for c in columns])
         whole = F.struct(sort.alias("o"), F.struct(*columns).alias("c"))
         return lines.groupBy(KEY).agg(pick(whole).alias("_row")).select(KEY, "_row.c.*")
     if how == "row_number":
@@ -66,8 +74,18 @@ def dedup(
         ranked = lines.withColumn("_n", F.row_number().over(last)).filter(F.col("_n") == 1)
         return ranked.select(KEY, *columns)
     if how == "first_value":
-        picks = [F.min_by(c, F.when(F.col(c).isNotNull(), sort)).alias(c) for c in columns]
-        return lines.groupBy(KEY).agg(*picks)
+        picks, values = [], []
+        for c in columns:
+            fields = list(dict.fromkeys((*order, c)))
+            numbers, known = packed(lines, fields), F.col(c).isNotNull()
+            if numbers:
+                picks.append(F.min(F.when(known, numbers[fields.index(c)])).alias(c))
+                values.append(unpacked(F.col(c), lines.schema[c].dataType).alias(c))
+            else:
+                least = F.min(F.when(known, F.struct(sort.alias("o"), F.col(c).alias("c"))))
+                picks.append(least.alias(c))
+                values.append(F.col(f"{c}.c").alias(c))
+        return lines.groupBy(KEY).agg(*picks).select(KEY, *values)
     raise ValueError(f"unknown rule {how!r}")
 
 
