@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.llm import oracles
 from tillroll.llm.bpe import bpe_round_trip
 from tillroll.llm.embeddings import embedding_near_duplicates
 from tillroll.llm.fingerprints import edited_fingerprints
@@ -106,4 +107,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
