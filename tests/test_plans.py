@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tillroll import registry
 from tillroll.operators.receipts import dedup
-from tillroll.plans import products, trends
+from tillroll.plans import inventory, products, trends
 from tillroll.sources import tables, views
 
 QUERIES = {k: q for k, q in registry._queries().items() if k not in ("falling_demand_csv", "csv_dialect", "load_and_insert")}
@@ -78,6 +78,29 @@ def test_bucketed_lines_need_no_shuffle(spark, folder, no_broadcast):
     assert "Exchange" not in plan
 
 
+def test_lines_meet_products_and_stock_in_one_move(spark, folder, no_broadcast):
+    """The recipe moves lines once, by product and day; product days are combined before they move."""
+    rows = views.product_sales(spark, folder).withColumn("customer_id", F.lit(1))
+    goods, log = views.products(spark, folder), views.inventory_log(spark, folder)
+    plan = plan_of(inventory.sales_enriched(rows, goods, log))
+    # the lines and what they meet, each by product and day
+    assert len(re.findall(r"Exchange hashpartitioning\(.*isnull\(", plan)) == 2
+    assert re.search(r"Exchange hashpartitioning\(product_id.*sale_date.*\n.*HashAggregate\(keys=\[product_id", plan)
+    assert plan.count("SortMergeJoin") == 3
+
+
+def test_lines_bucketed_by_product_and_day_need_no_shuffle(spark, folder, no_broadcast):
+    raw = views.product_sales(spark, folder).withColumns({"customer_id": F.lit(1), "sale_date": F.col("sale_date").cast("date")})
+    goods, log = views.products(spark, folder), views.inventory_log(spark, folder)
+    tables.write_bucketed(raw, "bucketed_sales", ["product_id", "sale_date"], 4)
+    lines = spark.table("bucketed_sales")
+    moved = plan_of(inventory.sales_enriched(raw, goods, log, undated=False))
+    plan = plan_of(inventory.sales_enriched(lines, goods, log, undated=False))
+    tables.drop(spark, "bucketed_sales")
+    # what is left moves products, stock entries and product days
+    assert plan.count("Exchange hashpartitioning") == moved.count("Exchange hashpartitioning") - 2
+
+
 def test_string_labels_do_not_force_a_sort(spark, folder):
     assert "SortAggregate" not in plan_of(QUERIES["by_day_name"](spark, folder))
 

@@ -158,6 +158,21 @@ def test_stock_entries_repeat_a_sale(spark):
     assert sorted((r.sale_time, r.revenue, r.stock_on_hand) for r in got) == [("09:05:06", M(18), 2), ("09:05:06", M(18), 4)]
 
 
+@pytest.mark.parametrize("apart", [False, True])
+def test_sales_keep_their_stock_or_none(spark, apart):
+    at = lambda d: dt.datetime(2025, 7, d, 9, 5, 6)
+    rows = [(1, 1, at(1), 2, 3), (2, 1, at(1), 5, 3), (3, 1, at(3), 1, 4), (4, 1, None, 1, 4), (5, 2, at(1), 1, 4), (6, None, at(1), 1, 4), (7, 9, at(1), 1, 4)]
+    sold = spark.createDataFrame(rows, "sale_id int, product_id int, sale_date timestamp_ntz, quantity int, customer_id int")
+    goods = spark.createDataFrame([(i, f"m{i}", "c", M(5), M(9)) for i in (1, 2, 3)], "product_id int, model_name string, category string, cost_price decimal(10,2), sale_price decimal(10,2)")
+    log = spark.createDataFrame([(1, DAY(1), 4, "in"), (1, DAY(2), 1, "in"), (1, None, 8, "in"), (2, DAY(1), None, "out")], "product_id int, date date, stock_on_hand int, operation_type string")
+    days = sold.select("product_id", "sale_date").unionAll(sold.select(F.lit(3), "sale_date")) if apart else None
+    got = inventory.sales_enriched(sold, goods, log, days=days).collect()
+    assert sorted((r.sale_id, r.model_name, r.stock_on_hand, r.operation_type) for r in got) == [
+        (1, "m1", 4, "in"), (2, "m1", 4, "in"), (3, "m1", None, None), (4, "m1", None, None), (5, "m2", None, "out")]
+    dated = inventory.sales_enriched(sold.filter("sale_date is not null"), goods, log, days=days, undated=False).collect()
+    assert sorted(map(str, dated)) == sorted(str(r) for r in got if r.sale_id != 4)
+
+
 def test_inventory_gap(spark):
     catalog = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "sku int, item_name string")
     wms = spark.createDataFrame([(1, 5, M(10)), (3, 2, M(7))], "sku int, system_qty int, purchase_price decimal(10,2)")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillroll.constants import SERVICE_LEVELS, Z_BY_SERVICE_LEVEL
 from tillroll.functions.dates import as_of_date, clock_text, second_of_day
 from tillroll.functions.numbers import rounded
+from tillroll.operators.joins import join_keys
 from tillroll.operators.windows import moving_average, series, with_moving_stats
 from tillroll.sources.files import write_csv
 
@@ -40,16 +41,25 @@ def export_falling_demand(sales: DataFrame, products: DataFrame, path: str, **pa
     return write_csv(falling_demand(sales, products, **params), path)
 
 
-def sales_enriched(sales: DataFrame, products: DataFrame, inventory: DataFrame, ordered: bool = False) -> DataFrame:
+def sales_enriched(
+    sales: DataFrame, products: DataFrame, inventory: DataFrame, ordered: bool = False, *, days: DataFrame | None = None, undated: bool = True
+) -> DataFrame:
     """Line grain: sales with product and same-day stock entries.
 
     A product day with several stock entries repeats the sale. `ordered` adds a global sort
     by date, a full shuffle of the result.
+
+    Product and stock meet at the product days that were sold, which are combined before they move. The lines then move
+    once, by product and day, so a hot product is spread over its days and a hot day of it may be split. `days` gives
+    (product_id, sale_date) of the sales if they are at hand without the other columns; days without a sale do no harm.
+    `undated=False` says that every sale has a date; then lines bucketed by product_id and sale_date do not move.
     """
-    timed = sales.withColumns({"sale_time": clock_text(second_of_day(F.col("sale_date"))), "sale_date": F.col("sale_date").cast("date")})
-    joined = timed.join(products, "product_id").join(
-        inventory.withColumnRenamed("date", "sale_date"), ["product_id", "sale_date"], "left"
-    )
+    key = ["product_id", F.col("sale_date").cast("date").alias("sale_date")]
+    sold = (sales if days is None else days).select(*key).distinct()
+    stock = inventory.select("product_id", F.col("date").alias("sale_date"), "stock_on_hand", "operation_type")
+    entries = sold.join(stock, ["product_id", "sale_date"], "left").join(products, "product_id")
+    lines = sales.filter("product_id is not null").withColumns({"sale_time": clock_text(second_of_day(F.col("sale_date"))), "sale_date": F.col("sale_date").cast("date")})
+    joined = join_keys(lines, entries, ("product_id", "sale_date")) if undated else lines.join(entries, ["product_id", "sale_date"])
     result = joined.select(
         "product_id", "category", "model_name", "cost_price", "sale_price", "sale_id", "sale_date", "sale_time",
         "quantity", (F.col("quantity") * F.col("sale_price")).alias("revenue"), "customer_id", "stock_on_hand", "operation_type",

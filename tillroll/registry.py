@@ -118,7 +118,8 @@ def _margin(spark, folder):
 
 def _sales_enriched(spark, folder):
     return inventory.sales_enriched(
-        views.product_sales(spark, folder, customer=True), views.products(spark, folder), views.inventory_log(spark, folder)
+        views.product_sales(spark, folder, customer=True), views.products(spark, folder), views.inventory_log(spark, folder),
+        days=views.product_sales(spark, folder),
     )
 
 

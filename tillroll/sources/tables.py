@@ -36,8 +36,8 @@ def load_csv_into(spark: SparkSession, path: str, table: str, schema: T.StructTy
     read_csv(spark, path, schema, **options).write.mode(mode).format("parquet").saveAsTable(table)
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
-    """A table hashed and sorted by a key: receipt group-bys and joins on it need no shuffle."""
+def write_bucketed(df: DataFrame, table: str, key: str | list[str], buckets: int) -> None:
+    """A table hashed and sorted by one or more columns: group-bys and joins on them need no shuffle."""
     df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
 
 
