@@ -254,3 +254,37 @@ def test_misspelt_words_score_like_the_words():
     weights, bias = toxicity.fit(texts, labels)
     score = lambda w: toxicity.word_scores([w], weights)[0]
     assert score("worthles") > np.percentile([score(w) for w in plain], 99)
+
+
+@pytest.mark.parametrize("values", [[(0, 0.5), (0, 1.5), (1, 2.5), (1, 4.0)], [(0, 3.0), (1, 1.0), (1, 2.0)], [(0, 1.0), (1, 1.0)], [(1, 2.0), (0, 1.0)] * 500])
+def test_quality_cut_is_the_quantile_of_all_labelled(spark, values):
+    """The middle between the largest score of the lowest share of bad ones and the next larger score."""
+    labels, raw = np.array([x for x, _ in values]), np.array([x for _, x in values])
+    low = np.sort(raw)[int(np.ceil((1 - labels.mean()) * len(raw) - 1e-9)) - 1]
+    above = raw[raw > low]
+    cut, slope = quality.cut_and_slope(spark.createDataFrame(values, "label int, raw double"))
+    assert cut == pytest.approx((low + (above.min() if len(above) else low)) / 2)
+    assert slope == pytest.approx(2 / max(1e-6, raw.std()))
+
+
+def test_preferences_are_fitted_as_by_plain_descent(monkeypatch):
+    """Bradley-Terry weights of few pairs against gradient descent on the same loss."""
+    monkeypatch.setattr(quality, "PAIRS", 300)
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(60, 3))
+    labels = (x @ [1.0, -0.5, 0.0] + rng.normal(size=60) > 0).astype(float)
+    weights, centre, spread = quality.fit_preferences(x, labels, seed=5, ridge=0.05)
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    drawn = np.random.default_rng(5)
+    good, bad = np.flatnonzero(labels == 1), np.flatnonzero(labels == 0)
+    d = z[drawn.choice(good, 300)] - z[drawn.choice(bad, 300)]
+    plain = np.zeros(3)
+    for _ in range(4000):
+        plain += 0.3 * ((d / (1 + np.exp(d @ plain))[:, None]).mean(axis=0) - 0.05 * plain)
+    assert np.allclose(weights, plain, atol=1e-3) and np.allclose(centre, x.mean(axis=0)) and np.allclose(spread, x.std(axis=0))
+
+
+def test_labels_of_absent_documents_use_up_no_sample(spark, documents):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)] + [(3, None), (None, 1)], "doc_id long, quality int")
+    texts, found = toxicity.sample(documents([(90, "a"), (91, "b"), (97, "c"), (97, "b2"), (None, "d")]), labels, "quality", 2, "doc_id", "text")
+    assert sorted(zip(texts, found)) == [("a", 0.0), ("b", 1.0), ("b2", 1.0)]

@@ -62,7 +62,7 @@ def test_stages_on_planted_rows(spark, documents, folder):
     kept = corpus_pipeline.drop_near_copies(spark, docs, folder)
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4, 5, 6] or sorted(r.doc_id for r in kept.collect()) == [1, 4, 5, 6]
     twice = documents([(1, base), (1, base), (1, "other words"), (None, "x"), (None, "x")]).select(*docs.columns)
-    assert sorted(str(r.doc_id) for r in corpus_pipeline.drop_near_copies(spark, twice, folder).collect()) == ["1", "None", "None"]
+    assert sorted(str(r.doc_id) for r in corpus_pipeline.drop_near_copies(spark, twice, folder).collect()) == ["1", "1", "None"]
     lines = corpus_pipeline.drop_repeated_lines(spark, docs, folder).collect()
     assert sorted(r.doc_id for r in lines) == [1, 3, 4, 5, 6]
     mixed = corpus_pipeline.mix(spark, docs, folder).collect()
@@ -71,6 +71,25 @@ def test_stages_on_planted_rows(spark, documents, folder):
         assert stage(spark, docs.limit(0), folder).collect() == []
 
 
+def test_rows_without_or_with_shared_ids_are_judged_by_their_text(spark, documents, folder):
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    given = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    names = spark.read.parquet(f"{folder}/documents.parquet").columns
+    learned = [(i, given[i]) for i in labels if i in given]
+    kept = {r.text for r in corpus_pipeline.drop_toxic(spark, documents(learned), folder).collect()}
+    toxic = next(t for i, t in learned if labels[i] == 1 and t not in kept)
+    clean = next(t for i, t in learned if labels[i] == 0 and t in kept)
+    odd = [(-1, toxic), (-1, clean), (None, toxic), (None, clean), (None, None)]
+    docs = documents([*learned, *odd])
+    assert set(names) <= set(docs.columns)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_toxic(spark, docs, folder).collect()]
+    assert [x for x in odd if x in got] == [(-1, clean), (None, clean), (None, None)]
+    copy = "every word of this passage is here to be found again in the copy that follows it " * 3
+    rows = [(None, copy), (7, copy), (7, "something else that has words of its own"), (None, "one of no copies at all here"), (None, None), (8, copy + "end")]
+    left = corpus_pipeline.drop_near_copies(spark, documents(rows), folder).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted([rows[1], rows[2], rows[3], rows[4]], key=str)
+
+
 def test_own_short_lines_keep_a_document(spark, documents, folder):
     shared = "this long line of boilerplate stands in many documents"
     docs = documents([(1, shared), (2, f"{shared}\nmilk\neggs"), (3, f"{shared}\n \u2003\t\n"), (4, f"milk\n{shared}"), (5, " ")])

@@ -2,7 +2,7 @@
 
 A document's score is a weighted sum of text features. A pair of a good and a bad document is a preference; the
 weights are learned by logistic loss on the differences of the two feature vectors, which is the Bradley-Terry model.
-Documents are then told apart at a quantile of the scores: the share of bad ones among the labelled. A logistic curve
+Documents are then told apart at a quantile of the scores of all labelled documents: the share of bad ones among them. A logistic curve
 that passes `threshold` at this quantile makes chances of the scores.
 """
 
@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.hashing import shingle_sets, text_runs, word_hashes
-from tillroll.llm.toxicity import sample
-from tillroll.llm.workspace import map_arrow
+from tillroll.llm.toxicity import known_labels, sample
+from tillroll.llm.workspace import map_arrow, materialize
 
 #: Labelled documents of each class that the model is fitted on, and pairs drawn from them.
 PER_CLASS, PAIRS = 2000, 50_000
+#: The quantile's rank is off by no more than one part in this of the labelled documents.
+ACCURACY = 100_000
 
 _LOWER, _UPPER, _DIGIT, _SPACE, _LINE, _HIGH, _BAR, _BANG, _STOP, _MARKUP, _ODD, _OTHER = range(12)
 _KINDS = 12
@@ -114,32 +116,26 @@ def fit_preferences(x: np.ndarray, labels: np.ndarray, seed: int = 11, ridge: fl
     return weights, centre, spread
 
 
-def fit(texts: list[str], labels: np.ndarray, bad_share: float, threshold: float) -> tuple:
-    """(weights, centre, spread, slope, zero): the chance is logistic(slope * (score - zero)) and equals `threshold` at
-    the quantile of scores below which `bad_share` of the labelled documents lie."""
+def fit(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """(weights, centre, spread); None without documents of both classes."""
     if not len(labels) or labels.min() == labels.max():
         return None
-    x = text_features(pa.array(texts, pa.string()))
-    weights, centre, spread = fit_preferences(x, labels)
-    scores = np.clip((x - centre) / spread, -8, 8) @ weights
-    # the classes are sampled by themselves; weights give them back their share
-    weight = np.where(labels == 1, (1 - bad_share) / labels.sum(), bad_share / (1 - labels).sum())
-    order = np.argsort(scores, kind="stable")
-    below = np.cumsum(weight[order])
-    at = int(np.clip(np.searchsorted(below, bad_share + 1e-9), 1, len(order) - 1))
-    cut = (scores[order][at - 1] + scores[order][at]) / 2
-    # steeper where the classes are further apart
-    slope = 2.0 / max(1e-6, scores.std())
-    return weights, centre, spread, slope, cut - np.log(threshold / (1 - threshold)) / slope
-
-
-def chances(x: np.ndarray, model: tuple | None) -> np.ndarray:
-    if model is None:
-        return np.full(len(x), 0.5)
-    weights, centre, spread, slope, zero = model
+    return fit_preferences(text_features(pa.array(texts, pa.string())), labels)
+
+
+def raw_scores(x: np.ndarray, model: tuple) -> np.ndarray:
+    weights, centre, spread = model
     # a row's sum does not depend on the rows beside it, as a matrix product's rounding may
-    scores = (np.clip((x - centre) / spread, -8, 8) * weights).sum(axis=1)
-    return 1 / (1 + np.exp(-np.clip(slope * (scores - zero), -30, 30)))
+    return (np.clip((x - centre) / spread, -8, 8) * weights).sum(axis=1)
+
+
+def cut_and_slope(known: DataFrame) -> tuple[float, float]:
+    """Over all of (label, raw): the middle between the score below which the share of bad documents lies, to one part
+    in ACCURACY of the rows, and the next larger one; and the curve's slope, steeper where scores lie close together."""
+    bad, spread = known.agg(F.avg(1 - F.col("label")), F.stddev_pop("raw")).first()
+    at = known.agg(F.percentile_approx("raw", float(bad), ACCURACY)).first()[0]
+    above = known.filter(F.col("raw") > at).agg(F.min("raw")).first()[0]
+    return (at + (at if above is None else above)) / 2, 2.0 / max(1e-6, spread)
 
 
 def quality_scores(
@@ -150,22 +146,27 @@ def quality_scores(
 
     `labels` has (id_col, label_col) of the rows that may be learned from; rows with a null in either and ids that `docs`
     lacks are left out; of an id's several texts the first is used, of its labels the largest. The fit sees at most `per_class` labelled documents of each
-    class, chosen by a hash of the id; the share of bad ones is counted over all labels. Whole texts are scored; null
+    class, chosen by a hash of the id; the share of bad ones and the quantile are taken over all labelled documents. Whole texts are scored; null
     and empty texts have the features of an empty text. Repeated rows get the same score, an empty table gives no rows.
     Without labels of both classes every score is 0.5. Other columns are not read.
     """
-    bad_share = labels.dropna(subset=[label_col]).agg(F.avg(1 - F.col(label_col))).first()[0]
-    model = fit(*sample(docs, labels, label_col, per_class, id_col, text_col), float(bad_share or 0.0), threshold)
+    kind = docs.schema[id_col].dataType.simpleString()
+    model = fit(*sample(docs, labels, label_col, per_class, id_col, text_col))
+    if model is None:
+        return docs.select(F.col(id_col), F.lit(0.5).alias("score"), F.lit(int(0.5 >= threshold)).alias("predicted"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, data, offsets in text_runs(batch.column(1)):
-                score = chances(features(data, offsets), shared.value)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(score)), pa.array(score)], names=["id", "score"])
+                raw = raw_scores(features(data, offsets), shared.value)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(raw)), pa.array(raw)], names=["id", "raw"])
 
     columns = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    scored = map_arrow(columns, run, f"id {columns.schema['id'].dataType.simpleString()}, score double")
-    return scored.select(
-        F.col("id").alias(id_col), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
-    )
+    scored = materialize(map_arrow(columns, run, f"id {kind}, raw double"), "raw-scores")
+    known = materialize(scored.join(known_labels(docs, labels, label_col, id_col), "id").select("label", "raw"), "known-scores")
+    cut, slope = cut_and_slope(known)
+    zero = cut - np.log(threshold / (1 - threshold)) / slope
+    steps = F.least(F.greatest(F.lit(float(slope)) * (F.col("raw") - F.lit(float(zero))), F.lit(-30.0)), F.lit(30.0))
+    chance = scored.select(F.col("id").alias(id_col), (1 / (1 + F.exp(-steps))).alias("score"))
+    return chance.select(id_col, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

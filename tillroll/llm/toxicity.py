@@ -202,10 +202,16 @@ class _Scorer(dict):
         self.update(zip(new, word_scores(new, self.weights).tolist()))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int, id_col: str, text_col: str) -> tuple[list, np.ndarray]:
-    """Texts and labels of at most `per_class` labelled documents of each class, by a hash of the id."""
+def known_labels(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str) -> DataFrame:
+    """(id, label) of the labelled ids that `docs` has; of an id's labels the largest."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
     known = known.groupBy("id").agg(F.max("label").alias("label"))
+    return known.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
+
+
+def sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int, id_col: str, text_col: str) -> tuple[list, np.ndarray]:
+    """Texts and labels of at most `per_class` labelled documents of each class, by a hash of the id."""
+    known = known_labels(docs, labels, label_col, id_col)
     order = F.xxhash64(F.col("id"))
     picked = [known.filter(F.col("label") == c).orderBy(order, "id").limit(per_class) for c in (0, 1)]
     chosen = F.broadcast(picked[0].unionAll(picked[1]))  # at most 2 * per_class ids
@@ -218,12 +224,13 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int, i
 
 def toxicity_scores(
     docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", per_class: int = PER_CLASS, threshold: float = 0.5,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per row of `docs`: (id_col, score, predicted): the chance of label 1 and whether it reaches `threshold`.
+    """One row per row of `docs`: (id_col, score, predicted): the chance of label 1 and whether it reaches `threshold`;
+    before the score the columns named in `carry`, by which rows without an id or with a shared one can be told apart.
 
     `labels` has (id_col, label_col) of the rows that may be learned from; rows with a null in either are left out, as
-    are ids that `docs` lacks. Of an id's several texts the first is used, of its labels the largest. Null and empty texts score like
+    are ids that `docs` lacks, before the sample is drawn. Of an id's several texts the first is used, of its labels the largest. Null and empty texts score like
     a word without letters. Whole texts are scored, whatever their length. Repeated rows get the same score, an empty
     table gives no rows. Without labels of both classes the score is constant. Other columns are not read.
     """
@@ -252,10 +259,14 @@ def toxicity_scores(
             if waiting:
                 flush()
             scores = 1 / (1 + np.exp(-np.clip(np.array(out, dtype=float) + bias, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["id", "score"])
+            carried = [batch.column(k) for k in range(2, batch.num_columns)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores), *carried], names=["id", "score", *extra])
 
-    columns = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    scored = map_arrow(columns, run, f"id {columns.schema['id'].dataType.simpleString()}, score double")
+    extra = [f"carry{k}" for k in range(len(carry))]
+    columns = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(f"`{c}`").alias(n) for c, n in zip(carry, extra)])
+    kinds = {n: columns.schema[n].dataType.simpleString() for n in ("id", *extra)}
+    scored = map_arrow(columns, run, ", ".join([f"id {kinds['id']}, score double", *[f"{n} {kinds[n]}" for n in extra]]))
     return scored.select(
-        F.col("id").alias(id_col), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+        F.col("id").alias(id_col), *[F.col(n).alias(c) for c, n in zip(carry, extra)], "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
