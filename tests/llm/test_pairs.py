@@ -82,6 +82,39 @@ def test_ngram_join_odd_rows(documents):
     assert ngram_join.ngram_jaccard_join(documents([])).collect() == []
 
 
+@pytest.mark.parametrize("block", [4, 512])
+def test_wide_columns_that_share_rows_are_dealt_once(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rng = random.Random(6)
+    families = [rng.sample(range(10**9), 12) for _ in range(5)]
+    columns = [rng.sample(f, rng.randint(2, 12)) for f in families for _ in range(20)] + [rng.sample(sum(families, []), 9) for _ in range(6)]
+    rows = [(h, sig, len(c)) for h, c in enumerate(columns) for sig in c]
+    got = ngram_join._grouped(spark.createDataFrame(rows, "h long, sig long, width long")).collect()
+    groups = {}
+    for h, sig, width in got:
+        groups.setdefault(h, []).append(sig)
+        assert width == sum(r.h == h for r in got)
+    assert all(len(set(g)) == len(g) for g in groups.values())
+    pairs = {p for g in groups.values() for p in itertools.combinations(sorted(g), 2)}
+    assert {p for c in columns for p in itertools.combinations(sorted(c), 2)} <= pairs
+    cost = lambda sizes: sum(n * -(-n // block) for n in sizes)
+    assert cost(map(len, groups.values())) < cost(map(len, columns)) / (3 if block == 512 else 1)
+
+
+def test_sets_come_from_the_chosen_rows_only(spark, documents, monkeypatch):
+    """Only texts whose id the bitmap holds are read for their sets; a false bit and a shared id add no row."""
+    seen = []
+    kept = ngram_join.map_arrow
+    monkeypatch.setattr(ngram_join, "map_arrow", lambda *a: seen.append(kept(*a)) or seen[-1])
+    docs = documents([(i, f"text number {i} has words of its own {i * i}") for i in range(200)] + [(7, "other words under one id"), (None, "no id here at all")])
+    sizes = ngram_join.document_shingles(docs, 4, "doc_id", "text")
+    classes = sizes.groupBy("sig").agg({"id": "min"}).toDF("sig", "first_id")
+    want = {r.sig: r.n_shingles for r in sizes.filter("id in (3, 7)").collect()}
+    sets = ngram_join._sets(classes.filter("first_id in (3, 7) or first_id is null").select("sig"), docs, classes, 4, "doc_id", "text")
+    assert {r["sig"]: len(r["items"]) for r in sets.collect()} == want and len(want) == 3
+    assert seen[-1].count() == 3
+
+
 def test_components(spark, monkeypatch):
     from tillroll.llm import graph
 

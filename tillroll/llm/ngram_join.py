@@ -10,8 +10,9 @@ the shingles, two linked rows share a shingle among the first `n - ceil(num * n
   order, never the result.
 * Products of a column with few rows are accumulated per pair and a pair is dropped when its count plus all that
   lies behind the shorter prefix cannot reach the bound given by the two sizes.
-* A column with many rows (families of near copies) is cut into blocks of rows. Two blocks are multiplied as matrices
-  over the shingles that they share, in one task, which gives back a spanning forest of the links and not the pairs.
+* Columns with many rows (families of near copies) are put together where they share a row, and cut into blocks of rows.
+  Two blocks are multiplied as matrices over the shingles that they share, in one task, which gives back a spanning
+  forest of the links and not the pairs.
 """
 
 from collections.abc import Iterator
@@ -29,8 +30,8 @@ from tillroll.llm.workspace import map_arrow, materialize, name_package
 REGION = 4
 #: A shingle in more than this many documents is put last; a column with more classes is multiplied in blocks.
 FREQUENT = 32
-#: Rows of a block.
-BLOCK = 512
+#: Rows of a block, and shingles that a product of two blocks takes at a time.
+BLOCK, SLICE = 512, 1 << 12
 #: Bits of each of the two bitmaps (2 ** 25 bits are 4 MB).
 BITMAP_BITS = 25
 
@@ -158,24 +159,45 @@ def _candidates(short: DataFrame, num: int, den: int) -> DataFrame:
     return counted.filter(f"({num} + {den}) * (c + least(xa, xb) + {behind}) >= {num} * (na + nb)").select("a", "b")
 
 
+def _id_bits(ids: DataFrame) -> np.ndarray:
+    """Bits of the hashed ids in the only column over 2 ** BITMAP_BITS buckets."""
+    bucket = ids.select((_id_bucket(F.col(ids.columns[0])) + 1).alias("bucket"))  # Spark's bitmaps start at 1
+    blocks = bucket.groupBy(F.bitmap_bucket_number("bucket").alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bucket")).alias("bits")
+    )
+    bits = np.zeros((1 << BITMAP_BITS) // 8, dtype=np.uint8)
+    for block, piece in blocks.toLocalIterator():
+        bits[(block - 1) * 4096 :][:4096] = np.frombuffer(piece, dtype=np.uint8)
+    return bits
+
+
+def _id_bucket(ids):
+    return F.shiftrightunsigned(F.xxhash64(ids), 64 - BITMAP_BITS)
+
+
 def _sets(involved: DataFrame, docs: DataFrame, classes: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """(sig, items): the sorted shingle hashes of one document of each class in `involved`."""
-    chosen = classes.join(involved, "sig").select("sig", F.col("first_id").alias("id"))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
+    """(sig, items): the sorted shingle hashes of each class in `involved`. Texts stay where they are: those of a class's first id,
+    by a bitmap of these ids, give their sets to the shuffle, and a false bit costs a set."""
+    chosen = materialize(classes.join(involved, "sig").select("sig", "first_id").filter("first_id is not null"), "chosen")
+    shared = docs.sparkSession.sparkContext.broadcast(_id_bits(chosen.select("first_id")))
+    texts = docs.select(_id_bucket(F.col(id_col).cast("long")).alias("bucket"), F.col(text_col).alias("text"))
 
     def run(batches):
+        bits = shared.value
         for batch in batches:
-            for at, data, offsets in text_runs(batch.column(1)):
+            place = batch.column(0).to_numpy(zero_copy_only=False)
+            hit = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+            for _, data, offsets in text_runs(batch.column(1).filter(pa.array(hit))):
                 h, begin = shingle_sets(data, offsets, k)
                 n = np.diff(begin)
                 sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h ^ np.uint64(0x5851F42D4C957F2D)))])
                 sig = _signed(mix(sums[begin[1:]] - sums[begin[:-1]] + n.astype(np.uint64)))
-                # rows that share an id may have another text
-                own = np.flatnonzero(sig == batch.column(0).slice(at, len(sig)).to_numpy(zero_copy_only=False))
+                own = pa.array(np.flatnonzero(n > 0))
                 sets = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(_signed(h)))
-                yield pa.RecordBatch.from_arrays([pa.array(sig[own]), sets.take(pa.array(own))], names=["sig", "items"])
+                yield pa.RecordBatch.from_arrays([pa.array(sig).take(own), sets.take(own)], names=["sig", "items"])
 
-    return map_arrow(texts.select("sig", "text"), run, "sig long, items array<long>").dropDuplicates(["sig"])
+    # rows that share an id may have another text
+    return map_arrow(texts, run, "sig long, items array<long>").join(chosen.select("sig"), "sig").dropDuplicates(["sig"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -190,13 +212,19 @@ def _product(items: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np
     """Overlaps of the sets of two lists of rows, over the shingles that at least two of the rows hold."""
     sizes = np.array([len(x) for x in items])
     shingles, column, count = np.unique(np.concatenate(items), return_inverse=True, return_counts=True)
-    rows = np.repeat(np.arange(len(items)), sizes)
     shared = count > 1
     place = np.cumsum(shared) - 1
     keep = shared[column]
-    matrix = np.zeros((len(items), int(shared.sum())), dtype=np.float32)
-    matrix[rows[keep], place[column[keep]]] = 1
-    return matrix[left] @ matrix[right].T
+    row, place = np.repeat(np.arange(len(items)), sizes)[keep], place[column[keep]]
+    order = np.argsort(place, kind="stable")
+    row, place = row[order], place[order]
+    overlap = np.zeros((len(left), len(right)), dtype=np.float32)
+    for at in range(0, int(shared.sum()), SLICE):
+        own = slice(*np.searchsorted(place, [at, at + SLICE]))
+        matrix = np.zeros((len(items), SLICE), dtype=np.float32)
+        matrix[row[own], place[own] - at] = 1
+        overlap += matrix[left] @ matrix[right].T
+    return overlap
 
 
 def _block_links(num: int, den: int):
@@ -232,12 +260,28 @@ def _block_links(num: int, den: int):
     return run
 
 
+def _grouped(wide: DataFrame) -> DataFrame:
+    """(h, sig, width): columns that have the row of least hash in common become one group, of width rows, named by the least of
+    the columns, so that a family of near copies, whose rows share many columns, is multiplied once. Every pair of a column
+    is a pair of its group. Where the blocks of a group would take more rows than those of its columns, these stay as they are."""
+    cost = lambda width: F.col(width) * F.ceil(F.col(width) / BLOCK)
+    columns = wide.groupBy("h").agg(F.min(F.xxhash64("sig")).alias("label"), F.count("*").alias("width"))
+    columns = materialize(columns.withColumn("cost", cost("width")), "wide")
+    labelled = wide.select("h", "sig").join(columns, "h")
+    rows = labelled.select("label", "sig").distinct()
+    groups = rows.groupBy("label").agg(F.count("*").alias("width"))
+    alone = columns.groupBy("label").agg(F.sum("cost").alias("alone"), F.min("h").alias("h"))
+    groups = materialize(groups.join(alone, "label").filter(cost("width") <= F.col("alone")).drop("alone"), "groups")
+    joined = rows.join(groups, "label").select("h", "sig", "width")
+    return joined.unionAll(labelled.join(groups.select("label"), "label", "left_anti").select("h", "sig", "width"))
+
+
 def _wide_links(wide: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Ties that connect what links connect among the rows of each wide column, block by block."""
+    """Ties that connect what links connect among the rows of each wide column, by group of columns and block by block."""
     blocks = F.ceil(F.col("width") / BLOCK)
     own = F.pmod(F.xxhash64("sig"), blocks)
     pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.least(own, k).alias("i"), F.greatest(own, k).alias("j")))
-    dealt = wide.select("h", "sig", own.alias("own"), F.explode(pairs).alias("pair"))
+    dealt = _grouped(wide).select("h", "sig", own.alias("own"), F.explode(pairs).alias("pair"))
     side = F.when(F.col("pair.i") == F.col("pair.j"), 0).when(F.col("own") == F.col("pair.i"), 1).otherwise(2)
     dealt = dealt.select("h", "sig", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), side.alias("side"))
     name_package(wide.sparkSession)
