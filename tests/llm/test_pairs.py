@@ -282,6 +282,36 @@ def test_line_dedup_odd_rows_with_growing_bound(documents):
     assert by[5][0][2] == list(range(2000)) and len(got) == len(rows)
 
 
+@pytest.mark.parametrize("every", [0, 25])
+def test_pairs_of_lines_meet_once_within_their_lengths(spark, every):
+    """A pair that many keys give is verified once, and one whose lengths are too far apart moves no text."""
+    rng = random.Random(12)
+    lengths = [rng.randint(20, 120) for _ in range(40)]
+    rows = [(key, i, lengths[i], rng.random() < 0.5) for key in range(30) for i in rng.sample(range(40), 9)]
+    under = spark.createDataFrame(rows, "key long, line long, length int, indexed boolean")
+    got = line_dedup._pairs(under, under, "a.indexed and (not b.indexed or a.line < b.line)", 2, every).distinct().collect()
+    want = set()
+    for (k, a, m, x), (q, b, n, y) in itertools.combinations(rows, 2):
+        if k == q and (x or y) and abs(m - n) <= (max(2, min(m, n) // every) if every else 2):
+            want.add((min(a, b), max(a, b)))
+    assert sorted(map(tuple, got)) == sorted(want)
+    base = ["".join(rng.choice("abcdefé ") for _ in range(60)) for _ in range(6)]
+    texts = [edited(rng, rng.choice(base), rng.choice([0, 1, 2, 4])) for _ in range(40)]
+    table = spark.createDataFrame(list(enumerate(texts)), "line long, text string")
+    pairs = [(a, b) for a, b in itertools.combinations(range(40), 2)]
+    links = line_dedup._pair_links(spark.createDataFrame(pairs * 3, "a long, b long"), table, 2, every).collect()
+    assert sorted(map(tuple, links)) == [(a, b) for a, b in pairs if edit_distance(texts[a], texts[b]) <= 2]
+
+
+def test_join_of_marked_rows_is_a_left_join(spark):
+    rows = spark.range(3000).selectExpr("id div 2 as id", "xxhash64(id div 2) as __rid").repartition(4)
+    for some in ("id % 7 = 0", "false"):
+        removed = rows.filter(some).select("__rid").distinct().selectExpr("__rid", "array(cast(__rid % 5 as int)) as __removed")
+        want = rows.join(removed, "__rid", "left").select("id", "__rid", "__removed")
+        got = line_dedup._joined_where_marked(rows, removed).select("id", "__rid", "__removed")
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 @pytest.mark.parametrize("few", [2, 32])
 def test_line_dedup_of_long_lines_is_brute_force(documents, monkeypatch, few):
     monkeypatch.setattr(line_dedup, "FEW", few)
