@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tillroll.llm import edit_distance as edit_distance_bits
 from tillroll.llm import embeddings, line_dedup, ngram_join
@@ -303,6 +304,18 @@ def test_pairs_of_lines_meet_once_within_their_lengths(spark, every):
     assert sorted(map(tuple, links)) == [(a, b) for a, b in pairs if edit_distance(texts[a], texts[b]) <= 2]
 
 
+def test_crowded_keys_of_one_family_give_their_pairs_once(spark):
+    rng = random.Random(7)
+    families = [range(100 * f, 100 * f + 60) for f in range(3)]
+    many = [(k, line, 50) for k in range(45) for line in rng.sample(families[k % 3], 50)]
+    many += [(50 + k, line, 50) for k in range(4) for line in rng.sample([x for f in families for x in f], 40)]
+    many = spark.createDataFrame(many, "key long, line long, length int").withColumn("indexed", F.expr("line % 4 > 0"))
+    pivots = line_dedup._pivots(many)
+    pair = lambda rows: {(a, b) for a, b in map(tuple, rows.collect())}
+    alone, joint = line_dedup._pairs(many, pivots, "true", 2, 0), line_dedup._pairs(*line_dedup._grouped(many, pivots), "true", 2, 0)
+    assert pair(alone) <= pair(joint) and joint.count() < alone.count() / 2
+
+
 def test_join_of_marked_rows_is_a_left_join(spark):
     rows = spark.range(3000).selectExpr("id div 2 as id", "xxhash64(id div 2) as __rid").repartition(4)
     for some in ("id % 7 = 0", "false"):
