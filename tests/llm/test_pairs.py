@@ -2,13 +2,15 @@
 
 import itertools
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tillroll.llm import edit_distance as edit_distance_bits
-from tillroll.llm import embeddings, line_dedup, ngram_join
+from tillroll.llm import embeddings, line_dedup, ngram_join, workspace
 from tillroll.llm.graph import connected_components
 
 ODD = [
@@ -357,3 +359,50 @@ def test_line_dedup_of_long_lines_is_brute_force(documents, monkeypatch, few):
     assert far > 10
     got = line_dedup.line_dedup(documents(docs).repartition(5), edits=2, every=25, min_chars=20).collect()
     assert {r.doc_id: r.removed_lines for r in got} == {i: [k for k in range(3) if group[3 * i + k] != 3 * i + k] for i, _ in docs}
+
+
+def test_line_dedup_gives_disk_back(spark, documents):
+    """Tables that no later step reads go, as do the shuffle files of a written table."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {p for d in manager.localDirsString() for p in Path(d).glob("*/shuffle_*.data")}
+    written = workspace.materialize(spark.range(1000).groupBy(F.expr("id % 7")).count(), "written")
+    before, folders = files(), set(Path(workspace.shared_folder(spark)).iterdir())
+    assert workspace.materialize(spark.range(1000).repartition(3, "id").groupBy(F.expr("id % 9 as k")).count(), "counts").collect()
+    wait_until = time.time() + 20
+    while files() - before and time.time() < wait_until:
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(workspace.SHUFFLE_CLEANUP) == "false"
+    long = "this line is long enough to be compared with others"
+    line_dedup.line_dedup(documents([(i, long + "!" * (i % 3)) for i in range(50)])).collect()
+    left = {table.name for d in set(Path(workspace.shared_folder(spark)).iterdir()) - folders for table in d.iterdir()}
+    assert {"lines", "first", "removed"} <= left and not left & {"keyed", "met", "found", "under", "texts", "links", "marks"}
+    workspace.discard(written)
+    assert not [d for d in folders for table in d.iterdir() if table.name == "written"]
+
+
+def test_probes_that_pass_by_chance_are_found_out(spark):
+    """Of rows that a crowded bitmap lets pass, a bitmap of other bits keeps those whose key is there, and few others."""
+    there = spark.range(1500).select(F.xxhash64("id").alias("key"))
+    rows = spark.range(6000).select(F.xxhash64("id").alias("key"), F.col("id").alias("line"), F.lit(1).alias("length"))
+    passed = line_dedup._with_bit(rows, line_dedup._marks(there, 15)[0])
+    other = line_dedup._with_bit(passed, line_dedup._marks(there, 15, other=True)[0], other=True)
+    lines = {r.line for r in other.collect()}
+    assert set(range(1500)) <= lines and len(lines) < passed.count()
+
+
+@pytest.mark.parametrize("part", [3, 1 << 14])
+def test_pairs_of_families_over_batches(spark, monkeypatch, part):
+    monkeypatch.setattr(line_dedup, "PAIRS", part)
+    rng = random.Random(31)
+    base = ["".join(rng.choice("abcdefé ") for _ in range(90)) for _ in range(4)]
+    texts = [edited(rng, rng.choice(base), rng.choice([0, 1, 3, 5])) for _ in range(36)]
+    table = spark.createDataFrame(list(enumerate(texts)), "line long, text string")
+    pairs = [(a, b) for a, b in itertools.combinations(range(36), 2) if rng.random() < 0.7]
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        links = line_dedup._pair_links(spark.createDataFrame(pairs * 2, "a long, b long"), table, 2, 25).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    near = lambda x, y: edit_distance(x, y) <= max(2, min(len(x), len(y)) // 25)
+    assert sorted(map(tuple, links)) == [(a, b) for a, b in pairs if near(texts[a], texts[b])]
