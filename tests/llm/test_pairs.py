@@ -3,6 +3,7 @@
 import itertools
 import random
 import time
+import tracemalloc
 from pathlib import Path
 
 import numpy as np
@@ -406,3 +407,26 @@ def test_pairs_of_families_over_batches(spark, monkeypatch, part):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
     near = lambda x, y: edit_distance(x, y) <= max(2, min(len(x), len(y)) // 25)
     assert sorted(map(tuple, links)) == [(a, b) for a, b in pairs if near(texts[a], texts[b])]
+
+
+def test_driver_holds_one_bitmap_at_a_time(spark, documents):
+    """Bitmaps of the keys, 32 MB each, follow one another on the driver: at most one and the copy that is sent."""
+    long = "this line is long enough to be compared with others"
+    docs = documents([(i, f"{long} {i % 7}") for i in range(40)])
+    tracemalloc.start()
+    try:
+        rows = line_dedup.line_dedup(docs).collect()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(len(r.removed_lines) for r in rows) == 39
+    assert peak < 2.5 * (1 << line_dedup.KEY_BITS) / 8
+
+
+def test_bits_of_written_blocks(spark):
+    keys = spark.range(2000).select(F.xxhash64(F.col("id") % 1500).alias("key"))
+    once, twice = line_dedup._marks(keys, 18)
+    blocks = line_dedup._mark_blocks(keys, 18)
+    assert (line_dedup._bits(blocks, "once", 18) == once).all()
+    both = line_dedup._bits(blocks, "twice", 18, once.copy())
+    assert (both == once | twice).all() and twice.any() and (once != twice).any()
