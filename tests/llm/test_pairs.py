@@ -430,3 +430,57 @@ def test_bits_of_written_blocks(spark):
     assert (line_dedup._bits(blocks, "once", 18) == once).all()
     both = line_dedup._bits(blocks, "twice", 18, once.copy())
     assert (both == once | twice).all() and twice.any() and (once != twice).any()
+
+
+@pytest.mark.parametrize("every", [0, 25])
+def test_pairs_apart_by_their_letters_move_no_texts(spark, every):
+    """The letters keep every pair within the bound, and few pairs of lines that only share a passage."""
+    rng = random.Random(17)
+    text = lambda n: "".join(rng.choice("abcdefghijklmno é") for _ in range(n))
+    base = [text(rng.choice([24, 80, 300, 700])) for _ in range(12)]
+    texts = [edited(rng, rng.choice(base), rng.choice([0, 1, 2, 3, 8, 12])) for _ in range(40)] + ["", "a" * 700, "a" * 701, "é" * 300, "中" * 300]
+    passage = text(24)
+    texts += [text(150) + passage + text(150) for _ in range(20)]
+    letters = line_dedup._letters(spark.createDataFrame(list(enumerate(texts)), "line long, text string")).collect()
+    assert [(r.line, r.length) for r in sorted(letters)] == [(i, len(x)) for i, x in enumerate(texts)]
+    by = {r.line: r for r in letters}
+    pairs = [(a, b, by[a].length, by[b].length, by[a].counts, by[b].counts) for a, b in itertools.combinations(range(len(texts)), 2)]
+    table = spark.createDataFrame(pairs, "a long, b long, m int, n int, x binary, y binary").repartition(3)
+    kept = {tuple(r) for r in line_dedup.map_arrow(table, line_dedup._alike(2, every), "a long, b long").collect()}
+    near = line_dedup.near_pairs([texts[p[0]] for p in pairs], [texts[p[1]] for p in pairs], 2, every)
+    assert {p[:2] for p, close in zip(pairs, near) if close} <= kept
+    assert not {(a, b) for a, b in kept if a >= 45}
+
+
+def test_keys_of_one_label_are_compared_once(spark):
+    """Keys whose pivots differ, but whose lines are of one family, become one group by a label."""
+    rng = random.Random(5)
+    many = [(k, line, line >= 40) for k in range(12) for line in rng.sample(range(60), 50)]
+    many = spark.createDataFrame(many, "key long, line long, other boolean").withColumns({"known": F.expr("if(other, line, 0)"), "main": F.expr("not other")})
+    labels = many.select("key", F.lit(0).alias("label")).distinct()
+    right, left = line_dedup._grouped(many, many.filter("other"), ("known", "main"), labels)
+    assert {r.key for r in right.collect()} == {0} == {r.key for r in left.collect()}
+    assert sorted(r.line for r in left.collect()) == sorted({r.line for r in many.filter("other").collect()})
+    assert right.count() == many.select("line").distinct().count()
+
+
+@pytest.mark.parametrize("block", [5, 512])
+def test_lines_outside_the_main_component(spark, monkeypatch, block):
+    """Chains among the lines that no pivot reaches are found, whichever of two lines is indexed, and pairs of them are compared once."""
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    monkeypatch.setattr(line_dedup, "PIVOTS", 2)
+    rng = random.Random(23)
+    base = "".join(rng.choice("abcdefé ") for _ in range(60))
+    texts = [edited(rng, base, rng.choice([0, 1, 3, 5, 6, 7])) for _ in range(40)]
+    many = [(key, line, len(texts[line]), rng.random() < 0.6) for key in range(3) for line in rng.sample(range(40), 34)]
+    tables = spark.createDataFrame(many, "key long, line long, length int, indexed boolean"), spark.createDataFrame(list(enumerate(texts)), "line long, text string")
+    near = lambda a, b: edit_distance(texts[a], texts[b]) <= 2
+    meet = {(x[1], y[1]) for x in many for y in many if x[0] == y[0] and x[1] < y[1] and (x[3] or y[3])}
+    known = [(a, b) for a, b in meet if near(a, b) and a < 6]
+    links = spark.createDataFrame(known, "a long, b long")
+    ties = line_dedup._rest_links(tables[0], links, tables[1], 2, 0).collect()
+    found = components(40, known + [tuple(sorted(r)) for r in ties])
+    least, most = ([(a, b) for a, b in pairs if near(a, b)] for pairs in (meet, itertools.combinations(range(40), 2)))
+    least, most = components(40, known + least), components(40, most)
+    for a, b in itertools.combinations(range(40), 2):  # all that keys ask for, and nothing that no chain connects
+        assert (least[a] != least[b] or found[a] == found[b]) and (found[a] != found[b] or most[a] == most[b])
